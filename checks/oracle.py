@@ -314,14 +314,13 @@ RELATIONS: dict[str, str] = {
         ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
     "lane_month": """SELECT origin_node_id, destination_node_id, CAST(date_trunc('month', date) AS DATE) AS departure_month,
         sum(daily_linehaul_cost_eur) AS monthly_linehaul_cost_eur, sum(daily_cbm) AS monthly_cbm FROM daily GROUP BY ALL""",
-    "truck_triplet": """SELECT w.truck_id, w.origin_node_id, w.destination_node_id, w.sort_code,
-        count(w.shipment_id) AS triplet_shipment_count,
-        CAST(date_trunc('month', t.departure_datetime) AS DATE) AS departure_month, t.cbm AS truck_cbm,
-        t.package_count AS truck_packages,
+    "truck_triplet": """SELECT w.*, CAST(date_trunc('month', t.departure_datetime) AS DATE) AS departure_month,
+        t.cbm AS truck_cbm, t.package_count AS truck_packages,
         CASE WHEN w.destination_node_id = w.sort_code AND w.origin_node_id LIKE 'ON_%' THEN 'direct' ELSE 'indirect' END
           AS triplet_type,
-        CAST(count(w.shipment_id) AS DOUBLE) / nullif(t.package_count, 0) * t.cbm AS triplet_cbm
-      FROM good_leg w JOIN good_run t ON t.truck_id = w.truck_id GROUP BY ALL""",
+        CAST(triplet_shipment_count AS DOUBLE) / nullif(t.package_count, 0) * t.cbm AS triplet_cbm
+      FROM (SELECT truck_id, origin_node_id, destination_node_id, sort_code, count(shipment_id) AS triplet_shipment_count
+            FROM good_leg GROUP BY ALL) w JOIN good_run t ON t.truck_id = w.truck_id""",
     "triplet": """SELECT departure_month, origin_node_id, destination_node_id, sort_code, triplet_type,
         CAST(sum(triplet_shipment_count) AS BIGINT) AS monthly_triplet_packages, sum(triplet_cbm) AS monthly_triplet_cbm
       FROM truck_triplet GROUP BY ALL""",
@@ -623,7 +622,7 @@ QUERIES: dict[str, str] = {
       upper(origin_node_country) IS DISTINCT FROM upper(destination_node_country) AS is_cross_border FROM run_lane""",
     "transit_delay": f"""SELECT origin_node_id, destination_node_id, count(*) AS runs, distance_km,
       {rnd('distance_km / 80', 4)} AS expected_transit_hours,
-      {rnd('avg(transit_time_hours) - distance_km / 80', 4)} AS avg_delay_hours
+      {rnd('avg(transit_time_hours) - any_value(distance_km) / 80', 4)} AS avg_delay_hours
       FROM (SELECT l.*, t.transit_time_hours FROM run_lane l JOIN good_run t USING (truck_id)) GROUP BY ALL""",
 }
 

@@ -74,7 +74,7 @@ def nearest_nodes(
     spread = sources.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         F.col("node_id").alias("source_id"), F.col("country").alias("_country"),
         F.col("latitude").cast("double").alias("_lat"), F.col("longitude").cast("double").alias("_lon"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("_block"))
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("_block"))
 
     def rated(node):
         foreign = ~node["country"].eqNullSafe(F.col("_country")) if same_country_first else F.lit(False)
