@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,71 +18,57 @@ from freightloom.plans import master_data as md
 from freightloom.plans.lane_daily import LANE
 from freightloom.plans.shipments import silver_wms
 from freightloom.plans.transport import silver_tms
+from freightloom.sources.sinks import publish
 from freightloom.sources.spine import spread_over_days
+from freightloom.sources.workspace import new_workspace
 
 
 class Tables:
-    """Feeds, scored tables and facts of one scale factor, each built when first asked for."""
+    """Feeds, scored tables and facts of one scale factor, in the layers of a full refresh.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def raw(self, name: str) -> DataFrame:
-        return feed(self.spark, self.sf_dir, f"raw_{name}")
-
-    # reference tables are small and used by every fact, so they are kept once computed
-    @cached_property
-    def network(self):
-        return md.silver_network(self.raw("network")).persist()
-
-    @cached_property
-    def rates(self):
-        return md.silver_rates(self.raw("rates")).persist()
-
-    @cached_property
-    def handling(self):
-        return md.silver_handling(self.raw("handling"), self.network).persist()
-
-    @cached_property
-    def procurement(self):
-        return md.silver_procurement(self.raw("procurement"))
-
-    @cached_property
-    def configured(self):
-        return md.silver_configured(self.raw("configured"), self.network).persist()
+    ``plan(name)`` is the lazy plan of a table over the published tables it depends on.
+    ``t.<name>`` is the published table: written once, when first asked for, and read back, so that a
+    query plans and runs only its own work.
+    """
 
-    @cached_property
-    def tms(self):
-        return silver_tms(self.raw("tms"), self.network, self.rates)
-
-    @cached_property
-    def wms(self):
-        return silver_wms(self.raw("wms"), self.tms, self.network)
-
-    @cached_property
-    def daily(self):
-        return lane_daily.lane_daily(self.tms, self.network, self.rates)
-
-    @cached_property
-    def triplets(self):
-        return simulation.monthly_triplets(self.wms, self.tms)
-
-    @cached_property
-    def enriched(self):
-        return simulation.enrich_triplets(simulation.prorate_cbm(self.triplets), self.network, self.rates)
-
-    @cached_property
-    def simulated(self):
-        return simulation.lane_simulation(
-            self.wms, self.tms, self.network, self.rates, self.handling, self.daily, thin=60, thick=90)
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.base = spark, sf_dir, new_workspace(spark)
+        self._published: dict[str, DataFrame] = {}
 
-    @cached_property
-    def compliance(self):
-        return compliance.container_compliance(self.wms, self.tms, self.network, self.procurement)
+    def _kept(self, layer: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = f"{layer}/{name}"
+        if key not in self._published:
+            self._published[key] = publish(build(), self.base, layer, name)
+        return self._published[key]
 
-    @cached_property
-    def transit(self):
-        return transit.transit_time(self.tms, self.configured)
+    def raw(self, name: str) -> DataFrame:
+        return self._kept("bronze", name, lambda: feed(self.spark, self.sf_dir, f"raw_{name}"))
+
+    def plan(self, name: str) -> DataFrame:
+        return PLANS[name](self)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in PLANS:
+            raise AttributeError(name)
+        return self._kept("derived", name, lambda: self.plan(name))
+
+
+PLANS: dict[str, Callable[[Tables], DataFrame]] = {
+    "network": lambda t: md.silver_network(t.raw("network")),
+    "rates": lambda t: md.silver_rates(t.raw("rates")),
+    "handling": lambda t: md.silver_handling(t.raw("handling"), t.network),
+    "procurement": lambda t: md.silver_procurement(t.raw("procurement")),
+    "configured": lambda t: md.silver_configured(t.raw("configured"), t.network),
+    "tms": lambda t: silver_tms(t.raw("tms"), t.network, t.rates),
+    "wms": lambda t: silver_wms(t.raw("wms"), t.tms, t.network),
+    "daily": lambda t: lane_daily.lane_daily(t.tms, t.network, t.rates),
+    "triplets": lambda t: simulation.monthly_triplets(t.wms, t.tms),
+    "enriched": lambda t: simulation.enrich_triplets(simulation.prorate_cbm(t.triplets), t.network, t.rates),
+    "simulated": lambda t: simulation.lane_simulation(
+        t.wms, t.tms, t.network, t.rates, t.handling, t.daily, thin=60, thick=90),
+    "compliance": lambda t: compliance.container_compliance(t.wms, t.tms, t.network, t.procurement),
+    "transit": lambda t: transit.transit_time(t.tms, t.configured),
+}
 
 
 _cache: dict[tuple[str, str], Tables] = {}
@@ -242,7 +227,7 @@ def distinct_lane_carriers(t):
 # -- scored tables ----------------------------------------------------------------------------
 
 for _name in ("network", "rates", "handling", "procurement", "configured", "tms", "wms"):
-    QUERIES[f"silver_{_name}"] = lambda t, n=_name: getattr(t, n)
+    QUERIES[f"silver_{_name}"] = lambda t, n=_name: t.plan(n)
 
 
 @query
@@ -322,7 +307,7 @@ def linehaul_costs(t):
 
 @query
 def lane_daily_fact(t):
-    return rounded(t.daily)
+    return rounded(t.plan("daily"))
 
 
 # -- simulation -------------------------------------------------------------------------------
@@ -334,7 +319,7 @@ def truck_triplets(t):
 
 @query
 def monthly_triplets(t):
-    return rounded(t.triplets)
+    return rounded(t.plan("triplets"))
 
 
 @query
@@ -349,7 +334,7 @@ def prorated_triplets(t):
 
 @query
 def enriched_triplets(t):
-    return rounded(t.enriched)
+    return rounded(t.plan("enriched"))
 
 
 @query
@@ -385,7 +370,7 @@ def calibrated_categories(t):
 
 @query
 def lane_simulation(t):
-    return rounded(t.simulated, 2)
+    return rounded(t.plan("simulated"), 2)
 
 
 @query
@@ -410,12 +395,12 @@ def container_counts(t):
 
 @query
 def container_compliance(t):
-    return t.compliance
+    return t.plan("compliance")
 
 
 @query
 def transit_time(t):
-    return t.transit
+    return t.plan("transit")
 
 
 @query

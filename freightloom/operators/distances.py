@@ -25,14 +25,14 @@ def lane_distance(
 ) -> DataFrame:
     """Add the distance of the lane ``start`` -> ``end``; NULL where that is no valid lane.
 
-    A valid lane joins two non-critical nodes in one of ``LANE_ROLES``.  ``take`` maps
+    ``network`` holds the nodes that may take part (usable ones, as a rule).  A valid lane joins two
+    of them in one of ``LANE_ROLES``.  ``take`` maps
     ``start_type``, ``start_country``, ``end_type`` or ``end_country`` to an output name; these are
     NULL too for an invalid lane.
     """
     take = take or {}
-    good = usable(network)
     for role, node in (("start", start), ("end", end)):
-        df = node_lookup(df, good, node, {
+        df = node_lookup(df, network, node, {
             "node_type": f"_{role}_type", "country": f"_{role}_country",
             "latitude": f"_{role}_lat", "longitude": f"_{role}_lon"})
     valid = F.lit(False)
@@ -47,7 +47,7 @@ def lane_distance(
 def lane_distances(pairs: DataFrame, network: DataFrame) -> DataFrame:
     """Distance table of the (origin, destination) pairs in ``pairs`` that are valid lanes."""
     lanes = pairs.toDF("origin_node", "destination_node").distinct()
-    out = lane_distance(lanes, network, "origin_node", "destination_node", "distance_km", {
+    out = lane_distance(lanes, bounded(usable(network)), "origin_node", "destination_node", "distance_km", {
         "start_country": "origin_node_country", "start_type": "origin_node_type",
         "end_country": "destination_node_country", "end_type": "destination_node_type"})
     return out.filter(F.col("origin_node_type").isNotNull()).select(

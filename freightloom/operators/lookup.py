@@ -29,7 +29,7 @@ def attach(
     take: Mapping[str, str],
     how: str = "left",
 ) -> DataFrame:
-    """Add columns of a reference table.
+    """Add columns of a reference table; pass it through ``bounded`` first, once per plan.
 
     ``key`` maps fact column to reference column, ``take`` maps reference column to its new name.
     The reference key is dropped; take it under another name to tell a miss from a NULL attribute.
@@ -38,7 +38,6 @@ def attach(
         *[F.col(ref).alias(f"_key_{i}") for i, ref in enumerate(key.values())],
         *[F.col(c).alias(name) for c, name in take.items()],
     )
-    side = bounded(side)
     on = [F.col(f"_fact.{fact}") == F.col(f"_side._key_{i}") for i, fact in enumerate(key)]
     joined = df.alias("_fact").join(side.alias("_side"), on, how)
     return joined.drop(*[f"_key_{i}" for i in range(len(key))])
@@ -51,7 +50,7 @@ def node_lookup(df: DataFrame, network: DataFrame, node: str, take: Mapping[str,
 
 def usable_endpoints(df: DataFrame, network: DataFrame, origin: str, destination: str) -> DataFrame:
     """Keep rows whose two endpoints are non-critical nodes and add their type, country and position."""
-    good = usable(network)
+    good = bounded(usable(network))
     for node, role in ((origin, "origin_node"), (destination, "destination_node")):
         take = {c: f"{role}_{n}" for c, n in
                 (("node_type", "type"), ("country", "country"), ("latitude", "latitude"), ("longitude", "longitude"))}

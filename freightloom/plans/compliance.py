@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from freightloom.functions.casting import stable_round
 from freightloom.functions.flags import usable
-from freightloom.operators.lookup import node_lookup
+from freightloom.operators.lookup import bounded, node_lookup
 from freightloom.plans.lane_daily import LANE
 from freightloom.plans.shipments import container_type
 
@@ -31,7 +31,7 @@ def container_counts(wms: DataFrame, tms: DataFrame) -> DataFrame:
 
 
 def container_compliance(wms: DataFrame, tms: DataFrame, network: DataFrame, procurement: DataFrame) -> DataFrame:
-    counts = node_lookup(container_counts(wms, tms), usable(network), "destination_node_id",
+    counts = node_lookup(container_counts(wms, tms), bounded(usable(network)), "destination_node_id",
                          {"node_capability": "node_capability"})
     # prices of one item: one row by the item's grain, several would repeat the lane-day as a join does
     prices = usable(procurement).filter(F.col("item") == BOX_ITEM).agg(F.collect_list("cost_per_unit_eur").alias("p"))

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from freightloom.functions.casting import impute_label, stable_round
 from freightloom.functions.flags import usable
 from freightloom.functions.geo import haversine_km
-from freightloom.operators.lookup import attach, usable_endpoints
+from freightloom.operators.lookup import attach, bounded, usable_endpoints
 from freightloom.sources.spine import days
 
 # Default period, label of a missing carrier, length of the average.
@@ -76,9 +76,9 @@ def fill_days(lanes: DataFrame, start: str = START, end: str = END) -> DataFrame
 
 def linehaul_cost(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Cost of a day's trucks: the carrier's rate, or the country average for the unknown carrier."""
-    quoted = attach(df, usable(rates), {"origin_node_country": "country", "carrier": "carrier"},
+    quoted = attach(df, bounded(usable(rates)), {"origin_node_country": "country", "carrier": "carrier"},
                     {"fixed_cost_eur": "_fixed", "cost_per_km_eur": "_per_km"})
-    both = attach(quoted, average_rates(rates), {"origin_node_country": "country"},
+    both = attach(quoted, bounded(average_rates(rates)), {"origin_node_country": "country"},
                   {"avg_fixed_cost": "_avg_fixed", "avg_cost_per_km": "_avg_per_km"})
     unknown = F.col("carrier") == UNKNOWN
     fixed, per_km = (F.when(unknown, F.col(a)).otherwise(F.col(q))

@@ -10,7 +10,7 @@ from freightloom.functions.casting import (
 )
 from freightloom.functions.flags import flag, in_range, number_rules, reference_rules, score
 from freightloom.operators.keep_first import COPIES, keep_first
-from freightloom.operators.lookup import node_lookup
+from freightloom.operators.lookup import bounded, node_lookup
 
 # Vocabularies, formats and business limits of the reference data.
 NODE_TYPES = {"ON": "origin_node", "CH": "consolidation_hub", "DN": "delivery_node"}
@@ -126,7 +126,7 @@ def silver_handling(bronze: DataFrame, network: DataFrame) -> DataFrame:
     first = keep_first(cleaned, ["node_id"], copies=COPIES)
     typed = first.withColumn(
         "cost_per_package_eur", safe_cast(blank_to_null(F.col("cost_per_package_eur"), trim=False), NUMERIC))
-    joined = node_lookup(typed, network, "node_id", {"node_id": "_node", "node_type": "_type"})
+    joined = node_lookup(typed, bounded(network), "node_id", {"node_id": "_node", "node_type": "_type"})
     flags = {
         "node_integrity_quality_flag": flag([
             *reference_rules(F.col("node_id"), F.col("_node"),
@@ -171,6 +171,7 @@ def silver_configured(bronze: DataFrame, network: DataFrame) -> DataFrame:
         "origin_node_id", "destination_node_id", safe_cast(hours, "double").alias("configured_transit_time_hours"),
         "configuration_type",
     )
+    network = bounded(network)
     ends = node_lookup(typed, network, "origin_node_id", {"node_id": "_o", "node_type": "_o_type"})
     ends = node_lookup(ends, network, "destination_node_id", {"node_id": "_d", "node_type": "_d_type"})
     flags = {

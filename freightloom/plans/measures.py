@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from freightloom.functions.casting import stable_round
 from freightloom.functions.geo import expected_transit_hours, haversine_km, leg_type
-from freightloom.operators.lookup import node_lookup
+from freightloom.operators.lookup import bounded, node_lookup
 from freightloom.operators.percentiles import percentiles
 from freightloom.plans.lane_daily import LANE
 
@@ -151,7 +151,7 @@ def calibrated_thresholds(triplets: DataFrame) -> DataFrame:
 
 def cross_border_lanes(lanes: DataFrame, network: DataFrame) -> DataFrame:
     """Distinct lanes of ``lanes`` between known nodes, marked where the countries differ."""
-    pairs = lanes.select(*LANE).distinct()
+    pairs, network = lanes.select(*LANE).distinct(), bounded(network)
     for node, role in zip(LANE, ("origin", "destination"), strict=True):
         pairs = node_lookup(pairs, network, node, {"country": f"{role}_country"}, how="inner")
     return pairs.withColumn(
@@ -162,6 +162,7 @@ def transit_delay(tms: DataFrame, network: DataFrame) -> DataFrame:
     """Expected hours at truck speed and the delay beyond them, as a mean per lane."""
     lanes = tms.filter(F.col("transit_time_hours").isNotNull()).groupBy(*LANE).agg(
         F.count(F.lit(1)).alias("runs"), F.avg("transit_time_hours").alias("_actual"))
+    network = bounded(network)
     for node, role in zip(LANE, ("_o", "_d"), strict=True):
         lanes = node_lookup(lanes, network, node, {"latitude": f"{role}_lat", "longitude": f"{role}_lon"}, how="inner")
     km = haversine_km(F.col("_o_lat"), F.col("_o_lon"), F.col("_d_lat"), F.col("_d_lon"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from freightloom.functions.casting import norm, parse_date
 from freightloom.functions.flags import flag, reference_rules, score
 from freightloom.operators.keep_first import COPIES, keep_first, null_safe_key, ordinal_columns
-from freightloom.operators.lookup import node_lookup
+from freightloom.operators.lookup import bounded, node_lookup
 
 # Id format and container type prefixes.
 SHIPMENT_ID_FORMAT = r"^SHP_[0-9]{9}\z"
@@ -85,7 +85,7 @@ def silver_wms(bronze: DataFrame, tms: DataFrame, network: DataFrame) -> DataFra
         F.col("package_count").alias("_packages"),
     ).join(legs_per_truck(counts), F.col("_run") == F.col("_truck"), "left").drop("_truck")
     joined = legs.join(runs, F.col("truck_id") == F.col("_run"), "left")
-    joined = node_lookup(joined, network, "sort_code", {"node_id": "_sort", "node_type": "_sort_type"})
+    joined = node_lookup(joined, bounded(network), "sort_code", {"node_id": "_sort", "node_type": "_sort_type"})
 
     shipment, container = F.col("shipment_id"), F.col("container_id")
 

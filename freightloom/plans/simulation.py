@@ -80,13 +80,13 @@ def prorate_cbm(triplets: DataFrame) -> DataFrame:
 
 def enrich_triplets(triplets: DataFrame, network: DataFrame, rates: DataFrame) -> DataFrame:
     """Distances of both legs and of the direct lane, and the country-average rates of both legs."""
+    network, mean = bounded(usable(network)), bounded(average_rates(rates))
     leg1 = lane_distance(triplets, network, *LANE, "distance1_km", {
         "start_type": "origin_node_type", "start_country": "origin_node_country",
         "end_type": "destination_node_type", "end_country": "destination_node_country",
     }).filter(F.col("origin_node_type") == "origin_node")
     both = lane_distance(leg1, network, "origin_node_id", "sort_code", "direct_distance_km")
     both = lane_distance(both, network, "destination_node_id", "sort_code", "distance2_km")
-    mean = average_rates(rates)
     for leg, country in (("leg1", "origin_node_country"), ("leg2", "destination_node_country")):
         both = attach(both, mean, {country: "country"}, {
             "avg_fixed_cost": f"{leg}_avg_fixed_cost_eur", "avg_cost_per_km": f"{leg}_avg_cost_per_km_eur"})
@@ -112,7 +112,7 @@ def triplet_costs(enriched: DataFrame, lane_daily: DataFrame, handling: DataFram
     lane_cost = monthly_lane_costs(lane_daily).select(
         *LANE_MONTH, F.col("monthly_linehaul_cost_eur").alias("current_monthly_costs"))
     joined = enriched.join(lane_cost, LANE_MONTH)
-    joined = attach(joined, usable(handling), {"destination_node_id": "node_id"}, {"cost_per_package_eur": "_handling"})
+    joined = attach(joined, bounded(usable(handling)), {"destination_node_id": "node_id"}, {"cost_per_package_eur": "_handling"})
     packages = F.col("monthly_triplet_packages")
     processing = F.when(
         F.col("triplet_type") == "indirect", F.col("_handling").cast("double") * packages).otherwise(F.lit(0.0))
@@ -149,12 +149,13 @@ def simulate_cost(df: DataFrame, network: DataFrame, rates: DataFrame, hub_leg:
     The default prices leg 1 of a thin redesign over the origin-to-destination distance and leg 2 at
     the destination country's rate.  ``hub_leg=True`` prices leg 1 to the hub and leg 2 from it.
     """
+    network = bounded(usable(network))
     df = lane_distance(df, network, "recommended_hub", "sort_code", "_hub_km", {"start_country": "_hub_country"})
     leg1_km, fixed2, per_km2 = (F.col(c) for c in
                                 ("distance1_km", "leg2_avg_fixed_cost_eur", "leg2_avg_cost_per_km_eur"))
     if hub_leg:
         df = lane_distance(df, network, "origin_node_id", "recommended_hub", "_to_hub_km")
-        df = attach(df, average_rates(rates), {"_hub_country": "country"},
+        df = attach(df, bounded(average_rates(rates)), {"_hub_country": "country"},
                     {"avg_fixed_cost": "_hub_fixed", "avg_cost_per_km": "_hub_per_km"})
         leg1_km, fixed2, per_km2 = F.col("_to_hub_km"), F.col("_hub_fixed"), F.col("_hub_per_km")
     trucks = F.col("adjusted_triplet_cbm") / TRUCK_CBM

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from freightloom.functions.casting import stable_round
 from freightloom.functions.flags import usable
-from freightloom.operators.lookup import attach
+from freightloom.operators.lookup import attach, bounded
 from freightloom.operators.percentiles import percentiles
 from freightloom.plans.lane_daily import LANE
 
@@ -18,7 +18,7 @@ OVER_SLACK_HOURS = 3
 
 def transit_time(tms: DataFrame, configured: DataFrame) -> DataFrame:
     """Usable runs on configured lanes with both times."""
-    joined = attach(usable(tms), usable(configured),
+    joined = attach(usable(tms), bounded(usable(configured)),
                     {"origin_node_id": "origin_node_id", "destination_node_id": "destination_node_id"},
                     {"configured_transit_time_hours": "configured_transit_time_hours"}, how="inner")
     return joined.select(
@@ -43,7 +43,7 @@ def transit_drift(fact: DataFrame) -> DataFrame:
 
 def configuration_status(tms: DataFrame, configured: DataFrame) -> DataFrame:
     """Is the configured time of a lane under, over or in line with what is observed?"""
-    joined = attach(transit_percentiles(tms), usable(configured),
+    joined = attach(transit_percentiles(tms), bounded(usable(configured)),
                     {"origin_node_id": "origin_node_id", "destination_node_id": "destination_node_id"},
                     {"configured_transit_time_hours": "configured_transit_time_hours"}, how="inner")
     hours = F.col("configured_transit_time_hours")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from freightloom.functions.casting import blank_to_null, norm, parse_datetime, safe_cast
 from freightloom.functions.flags import flag, number_rules, reference_rules, score, usable
 from freightloom.operators.keep_first import COPIES, keep_first
-from freightloom.operators.lookup import member_flag, node_lookup
+from freightloom.operators.lookup import bounded, member_flag, node_lookup
 
 # Id format and truck capacity.
 TRUCK_ID_FORMAT = r"^TRK_[0-9]{7}\z"
@@ -53,6 +53,7 @@ def silver_tms(
         F.col("arrival_datetime").alias("_raw_arrival"),
         COPIES,
     )
+    network = bounded(network)
     ends = node_lookup(typed, network, "origin_node_id", {"node_id": "_o", "node_type": "_o_type"})
     ends = node_lookup(ends, network, "destination_node_id", {"node_id": "_d", "node_type": "_d_type"})
     checked = member_flag(ends, "carrier", usable(rates).select("carrier"), "_no_rate")
