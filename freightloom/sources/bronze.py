@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from freightloom.schemas import FEEDS
 
 STATUS = "table_name string, status string, row_count bigint, bad_records bigint"
-MISSING = "\u0001missing\u0001"
+CORRUPT = "_malformed"
+QUOTED_FIELD = r'(?<=^|,)"(?:[^"]|"")*"(?=,|\s*\z)'
 
 
 def _all_strings(names) -> T.StructType:
@@ -44,11 +45,16 @@ def read_bronze_csv(
 
 
 def overlong_rows(spark: SparkSession, path: str, columns: int, multiline: bool = True) -> DataFrame:
-    """Rows with more fields than the header.  A plain read would cut them without a word."""
-    names = [f"c{i}" for i in range(columns)] + ["_extra"]
-    # an absent field must differ from an empty one here, so no text stands for NULL
-    df = _csv(spark, path, _all_strings(names), multiline, nullValue=MISSING, emptyValue="")
-    return df.filter(F.col("_extra").isNotNull())
+    """Rows with more fields than the header.  A plain read would cut them without a word.
+
+    The reader marks rows of the wrong width; their text, freed of quoted fields, shows which are
+    too long rather than short.
+    """
+    names = [f"c{i}" for i in range(columns)] + [CORRUPT]
+    df = _csv(spark, path, _all_strings(names), multiline, columnPruning=False, columnNameOfCorruptRecord=CORRUPT)
+    fields = F.size(F.split(F.regexp_replace(CORRUPT, QUOTED_FIELD, ""), ","))
+    # the reader refuses a query of its marker column alone, hence the second column
+    return df.filter((fields > columns) & (F.coalesce("c0", F.lit("")) != CORRUPT))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
