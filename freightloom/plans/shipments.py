@@ -37,33 +37,33 @@ def _key_text(key: str):
     return F.when(F.col(key) != "", F.trim(F.expr(f"substring({key}, 2)")))
 
 
-def key_counts(bronze: DataFrame) -> DataFrame:
-    """Rows per raw (shipment_id, truck_id) spelling with the trimmed ids; reads two columns."""
-    counted = bronze.groupBy(
-        null_safe_key(F.col("shipment_id")).alias(KEYS[0]), null_safe_key(F.col("truck_id")).alias(KEYS[1])
-    ).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.withColumns({"_shipment": _key_text(KEYS[0]), "_truck": _key_text(KEYS[1])})
-
-
-def legs_per_truck(counts: DataFrame) -> DataFrame:
-    """Legs with a shipment id per truck after deduplication."""
-    # the filter keeps every row; it keeps the row count in this branch so both readers of
-    # ``counts`` have the same plan and Spark shuffles it once
-    return counts.filter(F.col("_rows") > 0).groupBy("_truck").agg(F.count("_shipment").alias("_legs"))
-
-
-def spelled_apart(counts: DataFrame) -> DataFrame:
-    """Raw keys whose trimmed key also occurs in another spelling."""
-    pair = [null_safe_key(F.col("_shipment")), null_safe_key(F.col("_truck"))]
-    trimmed = counts.select(*KEYS, "_rows", pair[0].alias("_s"), pair[1].alias("_t")).filter(F.col("_rows") > 0)
-    differs = (F.col("_s") != F.col(KEYS[0])) | (F.col("_t") != F.col(KEYS[1]))
-    several = trimmed.groupBy("_s", "_t").agg(
-        F.count(F.lit(1)).alias("_n"), F.bool_or(differs).alias("_any")
+def raw_keys(bronze: DataFrame) -> DataFrame:
+    """Null-safe raw ids; reads two columns."""
+    return bronze.select(*[null_safe_key(F.col(c)).alias(k) for k, c in zip(KEYS, ("shipment_id", "truck_id"), strict=True)])
+
+
+def legs_per_truck(bronze: DataFrame) -> DataFrame:
+    """Legs with a shipment id per truck (as a null-safe key) after deduplication."""
+    legs = raw_keys(bronze).distinct().select(
+        _key_text(KEYS[0]).alias("_shipment"), null_safe_key(_key_text(KEYS[1])).alias("_truck"))
+    return legs.groupBy("_truck").agg(F.count("_shipment").alias("_legs"))
+
+
+def spelled_apart(bronze: DataFrame) -> DataFrame:
+    """Raw keys that may share their trimmed key with another spelling.
+
+    A trimmed key counts if it has several rows and at least one of them carries white space.  That
+    includes one spelling with several rows, which is a repetition too.
+    """
+    pairs = raw_keys(bronze).select(
+        *KEYS, null_safe_key(_key_text(KEYS[0])).alias("_s"), null_safe_key(_key_text(KEYS[1])).alias("_t"))
+    padded = (F.col("_s") != F.col(KEYS[0])) | (F.col("_t") != F.col(KEYS[1]))
+    several = pairs.groupBy("_s", "_t").agg(
+        F.count(F.lit(1)).alias("_n"), F.bool_or(padded).alias("_any")
     ).filter((F.col("_n") > 1) & F.col("_any")).select("_s", "_t")
-    # only keys that carry white space, and the clean key they collide with, can be affected
-    padded = trimmed.filter(differs).join(several, ["_s", "_t"]).select(*KEYS)
+    with_space = pairs.filter(padded).distinct().join(several, ["_s", "_t"]).select(*KEYS)
     clean = several.select(F.col("_s").alias(KEYS[0]), F.col("_t").alias(KEYS[1]))
-    return padded.unionByName(clean).withColumn("_apart", F.lit(True))
+    return with_space.unionByName(clean).withColumn("_apart", F.lit(True))
 
 
 def silver_wms(bronze: DataFrame, tms: DataFrame, network: DataFrame) -> DataFrame:
@@ -71,19 +71,21 @@ def silver_wms(bronze: DataFrame, tms: DataFrame, network: DataFrame) -> DataFra
     keyed = bronze.withColumns({
         KEYS[0]: null_safe_key(F.col("shipment_id")), KEYS[1]: null_safe_key(F.col("truck_id"))})
     first = keep_first(keyed, KEYS, order=ordinal_columns(bronze), copies=COPIES)
-    counts = key_counts(bronze)
     # the aggregate above is already partitioned and sorted by the keys, this join moves no full rows
-    flagged_keys = first.join(spelled_apart(counts), list(KEYS), "left")
+    flagged_keys = first.join(spelled_apart(bronze), list(KEYS), "left")
     legs = flagged_keys.select(
         *[norm(F.col(c)).alias(c) for c in COLUMNS if c != "order_date"],
         parse_date(F.col("order_date")).alias("order_date"),
         ((F.col(COPIES) > 1) | F.coalesce("_apart", F.lit(False))).alias("_repeated"),
     )
+    # Joined on the null-safe key, so the runs are shuffled once more (few rows) for the join with the
+    # legs.  Both sides of that join are then plain shuffles, which adaptive execution can split when
+    # one truck, or the missing truck id, holds a large part of the legs.
     runs = tms.select(
         F.col("truck_id").alias("_run"), F.to_date("departure_datetime").alias("_departure"),
         F.col("origin_node_id").alias("_o"), F.col("destination_node_id").alias("_d"),
         F.col("package_count").alias("_packages"),
-    ).join(legs_per_truck(counts), F.col("_run") == F.col("_truck"), "left").drop("_truck")
+    ).join(legs_per_truck(bronze), null_safe_key(F.col("_run")) == F.col("_truck"), "left").drop("_truck")
     joined = legs.join(runs, F.col("truck_id") == F.col("_run"), "left")
     joined = node_lookup(joined, bounded(network), "sort_code", {"node_id": "_sort", "node_type": "_sort_type"})
 

@@ -148,9 +148,35 @@ def test_wms_same_on_any_partitioning_and_under_skew(spark, raw, network, rates)
     assert {r.quality_record for r in many.filter("shipment_id <> 'SHP_000000007'").collect()} == {"clean"}
 
 
-def test_wms_plan_moves_full_rows_twice(raw, network, rates):
-    tms = tms_of(raw, network, rates, "1").persist()
-    tms.count()
-    df = silver_wms(raw("wms_shipment_details", leg(1)), tms, network)
+def test_wms_join_splits_a_hot_truck(spark, raw, network, rates, tmp_path):
+    """Two thirds of the legs on one truck: the join with the runs is split at run time."""
+    tms_of(raw, network, rates, *["5"] * 40).write.parquet(str(tmp_path / "tms"))
+    spark.range(60000).select(
+        F.format_string("SHP_%09d", "id").alias("shipment_id"),
+        F.format_string("TRK_%07d", F.when(F.col("id") % 3 > 0, 1).otherwise(1 + F.col("id") % 40)).alias("truck_id"),
+        F.concat(F.lit("MTL_"), "id").alias("container_id"), F.lit("2025-06-30").alias("order_date"),
+        F.lit("ON_AA").alias("origin_node_id"), F.lit("DN_AA").alias("destination_node_id"),
+        F.lit("DN_AA").alias("sort_code")).write.parquet(str(tmp_path / "wms"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = silver_wms(spark.read.parquet(str(tmp_path / "wms")), spark.read.parquet(str(tmp_path / "tms")), network)
+        assert df.count() == 60000
+        df = silver_wms(spark.read.parquet(str(tmp_path / "wms")), spark.read.parquet(str(tmp_path / "tms")), network)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert "skew=true" in plan
+
+
+def test_wms_plan_has_no_window_and_no_cross_join(spark, raw, network, rates):
+    df = silver_wms(raw("wms_shipment_details", leg(1)), tms_of(raw, network, rates, "1"), network)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "Window" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
