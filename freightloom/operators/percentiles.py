@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+SLICES = 64
+
+
+def value_slices(df: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
+    """One row, one array: ascending cut points that split the rows of ``df`` into about equal slices."""
+    fractions = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    return df.agg(F.percentile_approx(value, fractions).alias("_cuts"))
+
 
 def percentiles(
     df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], count: str | None = None
@@ -15,15 +23,30 @@ def percentiles(
     """Linear-interpolated percentiles (``PERCENTILE_CONT``) of ``value`` per group, NULLs ignored.
 
     ``points`` maps output column to fraction.  The built-in exact percentile holds all distinct
-    values of a group in one buffer.  Here equal values are counted before the shuffle, and the ranks
-    come from a running sum over a sort that can spill, so one group may hold most of the rows.
+    values of a group in one buffer, and a plain ranking window sorts a group in one task.  Here equal
+    values are counted before the shuffle, and ranks are built in two steps: a running count inside
+    (group, value slice), plus the count of all lower slices.  The slices are cut from the values of
+    the whole frame, so none holds much more than 1/64 of the rows, however large one group is.  The
+    cuts are approximate, the ranks are exact for any cuts.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    present = df.filter(F.col(value).isNotNull())
+    cuts = value_slices(present, value).scalar()
+    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(value))), F.lit(0))
+    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_cuts", cuts).withColumn(
+        "_slice", below).drop("_cuts")
+    cell = [*keys, "_slice"]
+    # a group has at most 64 slices, so this window is small for every group
     group = W.partitionBy(*keys)
-    ranked = counts.withColumns({
-        "_last": F.sum("_n").over(group.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)),
-        "_total": F.sum("_n").over(group),
-    })
+    slices = counts.groupBy(*cell).agg(F.sum("_n").alias("_in_slice")).withColumns({
+        "_before": F.sum("_in_slice").over(group.orderBy("_slice").rowsBetween(W.unboundedPreceding, W.currentRow))
+        - F.col("_in_slice"),
+        "_total": F.sum("_in_slice").over(group),
+    }).drop("_in_slice")
+    running = F.sum("_n").over(W.partitionBy(*cell).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
+    same_cell = [F.col(f"_c.{c}").eqNullSafe(F.col(f"_s.{c}")) for c in cell]
+    ranked = counts.withColumn("_running", running).alias("_c").join(slices.alias("_s"), same_cell).select(
+        *[F.col(f"_c.{k}").alias(k) for k in keys], F.col(f"_c.{value}").alias(value), "_n", "_total",
+        (F.col("_before") + F.col("_running")).alias("_last"))
 
     def at(rank):
         """Value at a zero-based rank."""

@@ -126,3 +126,21 @@ def test_lane_distances_only_for_valid_lanes(spark, network):
 def test_spine(spark):
     assert date_spine(spark, "2025-07-01", "2025-12-31").count() == 184
     assert spread_over_days(spark.range(3), "2025-07-01", "2025-07-05").count() == 15
+
+
+def test_percentiles_of_a_group_with_most_rows(spark):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        (F.pmod(F.hash("id"), F.lit(5000)) / 7).alias("v"))
+    points = {"p10": 0.1, "p90": 0.9}
+    got = {r.k: (r.n, r.p10, r.p90) for r in percentiles(df, ["k"], "v", points, count="n").collect()}
+    sample = df.toPandas().groupby("k")["v"]
+    assert set(got) == set(sample.groups)
+    for k, v in sample:
+        assert got[k][0] == len(v) and np.allclose(got[k][1:], np.percentile(v, [10, 90]))
+
+
+def test_percentiles_with_null_group_and_no_rows(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None)], "k string, v double")
+    assert [(r.k, r.m) for r in percentiles(df, ["k"], "v", {"m": 0.5}).collect()] == [(None, 2.0)]
+    assert percentiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
