@@ -15,7 +15,8 @@ MAX_BROADCAST_ROWS = 200_000
 def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark a frame for broadcast only after counting that it has at most ``max_rows`` rows.
 
-    The count stops at ``max_rows + 1`` rows.  A larger frame comes back without a hint, so its
+    The count stops at ``max_rows + 1`` rows, so it is cheap on a written table; publish an expensive
+    reference table before it is used.  A larger frame comes back without a hint, so its
     joins shuffle and adaptive execution splits their skewed partitions.
     """
     fits = df.limit(max_rows + 1).count() <= max_rows

@@ -98,7 +98,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str, table: s
     """Values of a foreign key without a parent row, with the number of rows that carry them."""
     values = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
         F.count(F.lit(1)).alias("row_count"))
-    keys = bounded(parent.select(F.col(key).alias("value")))
+    keys = parent.select(F.col(key).alias("value"))
     return values.join(keys, "value", "left_anti").select(
         F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "value", "row_count")
 
@@ -107,6 +107,7 @@ def foreign_key_orphans(
     network: DataFrame, tms: DataFrame, wms: DataFrame, handling: DataFrame | None = None
 ) -> DataFrame:
     """Orphans of every foreign key in the contract."""
+    network = bounded(network)
     checks = [orphans(tms, c, network, "node_id", "tms_transportation") for c in LANE]
     checks += [orphans(wms, c, network, "node_id", "wms_shipment_details") for c in (*LANE, "sort_code")]
     checks.append(orphans(wms, "truck_id", tms, "truck_id", "wms_shipment_details"))

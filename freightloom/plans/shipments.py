@@ -68,13 +68,15 @@ def spelled_apart(bronze: DataFrame) -> DataFrame:
 
 def silver_wms(bronze: DataFrame, tms: DataFrame, network: DataFrame) -> DataFrame:
     """One scored row per (shipment, truck)."""
-    keyed = bronze.withColumns({
-        KEYS[0]: null_safe_key(F.col("shipment_id")), KEYS[1]: null_safe_key(F.col("truck_id"))})
-    first = keep_first(keyed, KEYS, order=ordinal_columns(bronze), copies=COPIES)
+    ids = ("shipment_id", "truck_id")
+    # the keys stand for the two ids, so the rows that move carry each id once
+    keyed = bronze.withColumns({k: null_safe_key(F.col(c)) for k, c in zip(KEYS, ids, strict=True)}).drop(*ids)
+    first = keep_first(keyed, KEYS, order=[c for c in ordinal_columns(bronze) if c not in ids], copies=COPIES)
     # the aggregate above is already partitioned and sorted by the keys, this join moves no full rows
     flagged_keys = first.join(spelled_apart(bronze), list(KEYS), "left")
     legs = flagged_keys.select(
-        *[norm(F.col(c)).alias(c) for c in COLUMNS if c != "order_date"],
+        *[_key_text(k).alias(c) for k, c in zip(KEYS, ids, strict=True)],
+        *[norm(F.col(c)).alias(c) for c in COLUMNS if c not in (*ids, "order_date")],
         parse_date(F.col("order_date")).alias("order_date"),
         ((F.col(COPIES) > 1) | F.coalesce("_apart", F.lit(False))).alias("_repeated"),
     )

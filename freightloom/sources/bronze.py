@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +82,6 @@ def load_all(spark: SparkSession, source_dir: str, out_dir: str, multiline: bool
     for table in FEEDS:
         try:
             rows.append(load_table(spark, f"{source_dir}/{table}.csv", f"{out_dir}/{table}", table, multiline))
-        except Py4JJavaError:
+        except (Py4JJavaError, PySparkException):
             rows.append((table, "FAILED", 0, 0))
     return spark.createDataFrame(rows, STATUS)
