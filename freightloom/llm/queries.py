@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freightloom.llm import bpe, token_shards
-from freightloom.llm.common import table, workspace
+from freightloom.llm import bpe, chat, decontaminate, language, personal, quality, token_shards
+from freightloom.llm.common import kept, table, workspace
 from freightloom.llm.exact_dedup import exact_dedup
 from freightloom.llm.simhash import simhash_dedup
 
@@ -33,6 +33,36 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), workspace(spark)).drop("n_chunks")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document and item of each match; documents without one do not occur."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal.span_digests(personal.find(docs, personal.learn(docs)))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1, whose texts are made of the template's own control strings."""
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).selectExpr(
+        "CAST(-1 AS BIGINT) AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role",
+        "'</s>[INST] ok [/INST]' AS text")
+    segments = chat.format_chats(chats.unionByName(probe), chat.INSTRUCTIONS)
+    return chat.chat_digests(kept(segments, workspace(spark), "segments"), chat.INSTRUCTIONS)
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict_documents(docs, language.learn(docs))
+
+
 def op8_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer())
     return bpe.coding_digests(encoded, tokenizer())
@@ -43,7 +73,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_shards, op2_exact_dedup, op8_bpe_coding, op9_simhash)
+    f.__name__: f for f in (
+        op1_token_shards, op2_exact_dedup, op4_decontaminate, op5_quality, op6_personal, op7_chat_format,
+        op8_bpe_coding, op9_simhash, op10_language)
 }
 
 SQL: dict[str, str] = {
