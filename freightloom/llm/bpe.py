@@ -51,7 +51,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.code = "H" if len(self.tokens) <= 1 << 16 else "I"
-        self.kind = "<u2" if self.code == "H" else "<u4"
+        self.kind, self.width = ("<u2", 2) if self.code == "H" else ("<u4", 4)
         self.memo: dict[bytes, bytes] = {}
         self.chunks: OrderedDict[bytes, tuple] = OrderedDict()
         self.held = 0
@@ -192,15 +192,16 @@ def near_each_other(docs: DataFrame) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id and ``ids`` (little-endian unsigned integers, 2 bytes wide for vocabularies up to 65,536, else 4)."""
+    """doc_id, n_tokens and ``ids`` (little-endian unsigned integers, 2 bytes wide for vocabularies to 65,536, else 4)."""
     def rows(batches):
         coder = Encoder.of(path)
         for b in batches:
             for part in batched(zip(b["doc_id"], b["text"]), 256):
-                yield {"doc_id": [i for i, _ in part], "ids": [coder.encode_by_chunks(t) for _, t in part]}
+                ids = [coder.encode_by_chunks(t) for _, t in part]
+                yield {"doc_id": [i for i, _ in part], "n_tokens": [len(x) // coder.width for x in ids], "ids": ids}
 
     return map_rows(near_each_other(docs.select(F.col("doc_id").cast("long"), "text")), rows,
-                    "doc_id long, ids binary")
+                    "doc_id long, n_tokens long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,20 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict[str, list]]], Iterator
     return df.mapInArrow(run, kind)
 
 
+def numbered(docs: DataFrame, folder: str) -> tuple[DataFrame, str]:
+    """The table, written with a number per row, and the name of that column; numbers do not change on a retry."""
+    name = "row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return kept(docs.withColumn(name, F.monotonically_increasing_id()), folder, "numbered"), name
+
+
+def place(doc_id: str = "doc_id", row: str = "row"):
+    """(doc_id, row) as one number of fixed width, NULL ids last: its minimum needs no sort."""
+    last = F.coalesce(F.col(doc_id), F.lit(2**63 - 1)).cast("decimal(19,0)")
+    return (last * F.lit(Decimal(10**19)) + F.col(row)).cast("decimal(38,0)")
+
+
 def rank_of(doc_id: int | None) -> int:
     """crc32 of the decimal id (empty for NULL), modulo 5: rows with 0 are held out from learning."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5

@@ -14,12 +14,10 @@ ignored whatever their names.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightloom.llm.common import kept
+from freightloom.llm.common import kept, place
 
 #: A chunk ends after a space that follows letters of alternating halves of the alphabet, between these lengths.
 SHORTEST, LONGEST = 512, 4096
@@ -36,18 +34,19 @@ def chunks(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
-def recipes(docs: DataFrame, identify=F.xxhash64) -> DataFrame:
-    """row, doc_id, text_sha256 and ``parts``: (identifier, digest) per chunk in order."""
-    text = docs.select("doc_id", normalised(F.col("text")).alias("text"))
+def recipes(docs: DataFrame, identify=F.xxhash64, row: str | None = None) -> DataFrame:
+    """row (a column of the table or a new number), doc_id, text_sha256 and ``parts``: (identifier, digest) per chunk in order."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    text = docs.select(number.alias("row"), F.col("doc_id").cast("long"), normalised(F.col("text")).alias("text"))
     return text.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.sha2("text", 256).alias("text_sha256"),
+        "row", "doc_id", F.sha2("text", 256).alias("text_sha256"),
         F.transform(chunks(F.col("text")), lambda c: F.struct(
             identify(c).alias("id"), F.unhex(F.sha2(c, 256)).alias("digest"))).alias("parts"))
 
 
-def exact_dedup(docs: DataFrame, folder: str, identify=F.xxhash64) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 and the number of chunks, one row per input row."""
-    slim = kept(recipes(docs, identify), folder, "recipes")
+def exact_dedup(docs: DataFrame, folder: str, identify=F.xxhash64, row: str | None = None) -> DataFrame:
+    """row, doc_id, keep_id, group_size, kept, text_sha256 and the number of chunks, one row per input row."""
+    slim = kept(recipes(docs, identify, row), folder, "recipes")
     forms = slim.select(F.explode("parts").alias("p")).select("p.id", "p.digest").distinct()
     unsafe = forms.groupBy("id").count().where("count > 1").select("id")
     listed = slim.select("row", "doc_id", "text_sha256", F.col("parts.id").alias("recipe"))
@@ -56,12 +55,9 @@ def exact_dedup(docs: DataFrame, folder: str, identify=F.xxhash64) -> DataFrame:
     keyed = listed.join(doubtful, "recipe", "left").select(
         "row", "doc_id", "text_sha256", "recipe",
         F.when(F.col("doubtful"), F.col("text_sha256")).otherwise("").alias("tie"))
-    # (doc_id, row) as one number, so that the minimum is a fixed-width buffer
-    last = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).cast("decimal(19,0)")
-    order = (last * F.lit(Decimal(10**19)) + F.col("row")).cast("decimal(38,0)")
-    keyed = keyed.withColumn("place", order)
+    keyed = keyed.withColumn("place", place())
     groups = keyed.groupBy("recipe", "tie").agg(
         F.min("doc_id").alias("keep_id"), F.min("place").alias("first"), F.count(F.lit(1)).alias("group_size"))
     return keyed.join(groups, ["recipe", "tie"]).select(
-        "doc_id", "keep_id", "group_size", (F.col("place") == F.col("first")).alias("kept"), "text_sha256",
+        "row", "doc_id", "keep_id", "group_size", (F.col("place") == F.col("first")).alias("kept"), "text_sha256",
         F.size("recipe").cast("long").alias("n_chunks"))

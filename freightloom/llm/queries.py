@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from freightloom.llm import bpe, chat, decontaminate, language, personal, quality, token_shards
 from freightloom.llm.common import kept, table, workspace
 from freightloom.llm.exact_dedup import exact_dedup
+from freightloom.llm.line_dedup import line_dedup
 from freightloom.llm.simhash import simhash_dedup
 
 #: Tokenizer file of the registered queries, one of the public ones installed beside the libraries.
@@ -30,7 +31,11 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"), workspace(spark)).drop("n_chunks")
+    return exact_dedup(table(spark, sf_dir, "documents"), workspace(spark)).drop("row", "n_chunks")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"), workspace(spark))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,12 +74,12 @@ def op8_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_dedup(table(spark, sf_dir, "documents"), workspace(spark))
+    return simhash_dedup(table(spark, sf_dir, "documents"), workspace(spark)).drop("row", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_shards, op2_exact_dedup, op4_decontaminate, op5_quality, op6_personal, op7_chat_format,
+        op1_token_shards, op2_exact_dedup, op3_line_dedup, op4_decontaminate, op5_quality, op6_personal, op7_chat_format,
         op8_bpe_coding, op9_simhash, op10_language)
 }
 

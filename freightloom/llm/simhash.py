@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightloom.llm.common import kept, map_rows
+from freightloom.llm.common import kept, map_rows, place
 from freightloom.llm.components import components
 
 BITS, HALF, RADIUS, WORDS, SEED = 64, 32, 3, 3, 42
@@ -58,14 +58,16 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0]) if total else 0
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """row (a column of the table or a new number), doc_id and fp, the fingerprint as a signed long."""
     def rows(batches):
         for b in batches:
-            yield {"doc_id": b["doc_id"],
+            yield {"row": b["row"], "doc_id": b["doc_id"],
                    "fp": [int(np.uint64(fingerprint(t)).astype(np.int64)) for t in b["text"]]}
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), rows, "doc_id long, fp long")
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    return map_rows(docs.select(number.alias("row"), F.col("doc_id").cast("long"), "text"), rows,
+                    "row long, doc_id long, fp long")
 
 
 def _half(fp: Column, k: int) -> Column:
@@ -95,14 +97,15 @@ def links(prints: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def simhash_dedup(docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, one row per input row."""
-    prints = kept(fingerprints(docs), folder, "prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+def simhash_dedup(docs: DataFrame, folder: str, row: str | None = None) -> DataFrame:
+    """row, doc_id, fingerprint (16 hex digits), component_id and kept (the first row of its component)."""
+    prints = kept(fingerprints(docs, row), folder, "prints").withColumn("place", place())
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("place").alias("first"))
     stars = components(links(distinct.select("fp")), folder)
     rooted = distinct.join(stars, distinct.fp == stars.u, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
+        "fp", "least", "first", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("head"))
+    classes = rooted.join(named, "root").select("fp", "component_id", "head")
     return prints.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "row", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+        (F.col("place") == F.col("head")).alias("kept"))
