@@ -20,7 +20,7 @@ import hashlib
 import re
 from array import array
 from collections import OrderedDict
-from collections.abc import Iterable
+from collections.abc import Callable
 from itertools import batched
 
 import numpy as np
@@ -32,14 +32,35 @@ from freightloom.llm.exact_dedup import chunks
 
 #: Pieces and bytes of chunks one worker remembers, whatever the input's size.
 MEMO, REUSE_BYTES = 1_000_000, 64 << 20
-#: Bytes the rolling hash sees, and chunk lengths in bytes: about one cut in 1,024 positions.
-WINDOW, SHORTEST, LONGEST, MASK = 64, 256, 8192, 1023
+#: Bytes the rolling hash sees, and chunk lengths in bytes: about one cut in 2,048 positions.
+WINDOW, SHORTEST, LONGEST, MASK = 64, 256, 8192, 2047
 #: Whole pieces kept on each side of a chunk for repairs; pieces encoded and bytes hashed at a time.
 REACH, SLICE, STEP = 4, 100_000, 1 << 22
+#: Letters that normalising leaves alone but for case, then signs without an apostrophe; and how bytes are shown to the model: printable
+#: ones as they are, the others in order from U+0100.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173))}
 SPACES = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+class Memo(dict):
+    """Values by key, made when missing; of a full memo the older half goes unless it was asked for since."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        if (value := self.old.get(key)) is None:
+            value = self.make(key)
+        if len(self) >= self.most // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of byte texts as little-endian unsigned integers of the smallest width (2 or 4 bytes) the vocabulary allows."""
 
@@ -52,7 +73,9 @@ class Encoder:
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.code = "H" if len(self.tokens) <= 1 << 16 else "I"
         self.kind, self.width = ("<u2", 2) if self.code == "H" else ("<u4", 4)
-        self.memo: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.simple = self._splits_simply()
+        self.memo = Memo(self._piece, MEMO)
         self.chunks: OrderedDict[bytes, tuple] = OrderedDict()
         self.held = 0
 
@@ -63,29 +86,35 @@ class Encoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def _learn(self, pieces: Iterable[bytes]) -> None:
-        """Encode the pieces not in the memo; a full memo starts afresh."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo, tokenize = self.memo, self.tokenizer.model.tokenize
-        new, other = [p for p in dict.fromkeys(pieces) if p not in memo], []
-        for p in new:
-            if p.isalpha() and p.islower():  # lower-case ASCII letters are one word and stay as they are
-                memo[p] = array(self.code, [t.id for t in tokenize(p.decode())]).tobytes()
-            else:
-                other.append(p)
-        if other:
-            texts = [p.decode("utf-8", "replace") for p in other]
-            for p, e in zip(other, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-                memo[p] = array(self.code, e.ids).tobytes()
+    def _splits_simply(self) -> bool:
+        """Whether the tokenizer lower-cases, parts letters from stops and shows bytes as the common alphabet does."""
+        probe = "Abc,éß$?\u00c0.|>"
+        return self.whole(probe) == b"".join(
+            self.word(w) if w.isalpha() else self.whole(w) for w in ("abc", ",", "éß", "$?", "à", ".|>"))
+
+    def _piece(self, piece: bytes) -> bytes:
+        if piece.isalpha() and piece.islower() and self.simple:  # ASCII
+            return self.word(piece.decode())
+        text = piece.decode("utf-8", "replace")
+        if self.simple and (m := PLAIN.fullmatch(text)):
+            letters = m[1].lower()
+            if letters == text:
+                return self.word(letters)
+            return self.memo[letters.encode()] + (self.memo[m[2].encode()] if m[2] else b"")
+        return self.whole(text)
 
     def pieces(self, pieces: list[bytes]) -> bytes:
         """Ids of pieces without white space, one after another."""
-        try:
-            return b"".join(map(self.memo.__getitem__, pieces))
-        except KeyError:
-            self._learn(pieces)
-            return b"".join(map(self.memo.__getitem__, pieces))
+        return b"".join(map(self.memo.__getitem__, pieces))
+
+    def whole(self, text: str) -> bytes:
+        """Ids by the library's own normalising and splitting."""
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, letters: str) -> bytes:
+        """Ids of lower-case Latin letters, which are one word to the tokenizer: its model alone is asked."""
+        shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(SHOWN)
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text."""
@@ -121,7 +150,7 @@ class Encoder:
         while True:
             left, right = before[max(0, len(before) - wide):], after[:wide]
             window = b" ".join([*left, joint, *right]).decode("utf-8", "replace")
-            ids = array(self.code, self.tokenizer.encode(window, add_special_tokens=False).ids).tobytes()
+            ids = self.whole(window)
             start, end = self.pieces(left), self.pieces(right)
             if ids.startswith(start) and ids.endswith(end) and len(ids) >= len(start) + len(end):
                 return ids[len(start):len(ids) - len(end)]
@@ -151,9 +180,11 @@ class Encoder:
             out.append(self.pieces([pending]))
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
+    def numbers(self, ids: bytes) -> list[int]:
+        return np.frombuffer(ids, self.kind).tolist()
+
+    def decode(self, numbers: list[int]) -> str:
         """Text of ids, special tokens kept."""
-        numbers = np.frombuffer(ids, self.kind).tolist()
         if self.tokenizer.decoder is None:
             return " ".join(map(self.tokens.__getitem__, numbers))
         return self.tokenizer.decode(numbers, skip_special_tokens=False)
@@ -210,7 +241,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
         coder = Encoder.of(path)
         for b in batches:
             for part in batched(zip(b["doc_id"], b["ids"]), 256):
-                yield {"doc_id": [i for i, _ in part], "text": [coder.decode(x) for _, x in part]}
+                yield {"doc_id": [i for i, _ in part], "text": [coder.decode(coder.numbers(x)) for _, x in part]}
 
     return map_rows(encoded, rows, "doc_id long, text string")
 
@@ -224,11 +255,11 @@ def coding_digests(encoded: DataFrame, path: str) -> DataFrame:
             for part in batched(zip(b["doc_id"], b["ids"]), 256):
                 out = {"doc_id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
                 for i, ids in part:
-                    numbers = np.frombuffer(ids, coder.kind).tolist()
+                    numbers = coder.numbers(ids)
                     out["doc_id"].append(i)
                     out["n_tokens"].append(len(numbers))
                     out["ids_sha256"].append(_digest(" ".join(map(decimal.__getitem__, numbers))))
-                    out["decoded_sha256"].append(_digest(coder.decode(ids)))
+                    out["decoded_sha256"].append(_digest(coder.decode(numbers)))
                 yield out
 
     return map_rows(encoded, rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
