@@ -123,7 +123,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Discrimin
 
     got = map_rows(rows, measured, "doc_id long, quality int, x array<double>").collect()
     got.sort(key=lambda r: (r["doc_id"], r["quality"], r["x"]))
-    return fit(np.array([r["x"] for r in got]).reshape(len(got), -1), np.array([r["quality"] for r in got]))
+    if not got:
+        return 0.5
+    return fit(np.array([r["x"] for r in got]), np.array([r["quality"] for r in got]))
 
 
 def scores(model: Discriminant | float, texts: list[str | None]) -> np.ndarray:
