@@ -179,7 +179,7 @@ def found_pairs(docs: DataFrame) -> DataFrame:
     asks = _keys(docs, True).select(F.col("key"), F.col("id").alias("id2"), F.col("pairs").alias("pairs2"))
     near = F.bit_count(F.col("pairs").bitwiseXOR(F.col("pairs2"))) <= PAIRS_PER_EDIT * EDITS
     other = (F.col("id") != F.col("id2")) | (F.col("pairs") != F.col("pairs2"))
-    return homes.join(asks.withColumnRenamed("key", "key2"), (F.col("key") == F.col("key2")) & near & other).select(
+    return homes.join(asks.withColumnRenamed("key", "key2").hint("merge"), (F.col("key") == F.col("key2")) & near & other).select(
         "id", "pairs", "id2", "pairs2").distinct()
 
 

@@ -92,8 +92,9 @@ def links(prints: DataFrame) -> DataFrame:
         "a", "half", "p.key", "p.own")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     once = F.when(F.col("own"), F.col("a") > F.col("b")).otherwise(F.lit(True))
+    # the exploded tables look as small as what they were made from: never broadcast them
     return probes.join(
-        homes, (probes.half == homes.half) & (probes.key == homes.key) & apart.between(1, RADIUS) & once,
+        homes.hint("merge"), (probes.half == homes.half) & (probes.key == homes.key) & apart.between(1, RADIUS) & once,
     ).select("a", "b")
 
 
