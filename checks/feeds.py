@@ -105,11 +105,12 @@ SQL: dict[str, str] = {
     "raw_tms": f"""
       SELECT CASE WHEN k % 4000 = 3999 THEN 'TRUCK-' || {text('k', 7)} WHEN k % 5000 = 4998 THEN NULL
                   ELSE 'TRK_' || {text('k', 7)} END AS truck_id,
-        CASE WHEN k % 800 = 81 THEN 'ON_ZZ' WHEN k % 400 = 82 THEN lower(origin) || ' '
+        CASE WHEN k % 800 = 81 THEN 'ON_ZZ' WHEN k % 400 = 82 THEN lower(origin) || ' ' WHEN k % 400 = 182 THEN origin || chr(13)
              WHEN k % 1600 = 83 THEN NULL ELSE origin END AS origin_node_id,
         CASE WHEN k % 900 = 91 THEN 'ON_AA' ELSE destination END AS destination_node_id,
         CASE WHEN k % 100 = 42 THEN NULL WHEN k % 777 = 5 THEN 'GHOST LINE'
-             WHEN k % 50 = 3 THEN priority || ' ' ELSE priority END AS carrier,
+             WHEN k % 50 = 3 THEN priority || ' ' WHEN k % 50 = 13 THEN priority || chr(9)
+                  WHEN k % 50 = 23 THEN chr(160) || priority ELSE priority END AS carrier,
         CASE WHEN k % 2000 = 8 THEN NULL WHEN k % 900 = 33 THEN 'soon'
              WHEN k % 300 = 17 THEN {day_first(day_text('day'))} || ' ' || {clock('depart')}
              ELSE {day_text('day')} || ' ' || {clock('depart')} END AS departure_datetime,
@@ -156,6 +157,7 @@ SQL: dict[str, str] = {
              WHEN p_partkey = 0 THEN '200' WHEN p_partkey = 1 THEN '500'
              ELSE {text('210 + (17 * p_partkey) % 280')} || '.5' END AS fixed_cost_eur,
         CASE WHEN p_partkey = 9 THEN '' WHEN p_partkey % 47 = 46 THEN 'n/a'
+             WHEN p_partkey % 47 = 45 THEN '1.2d' WHEN p_partkey % 47 = 44 THEN '1e1' WHEN p_partkey % 47 = 43 THEN '0x1p1'
              ELSE '1.' || {text('(13 * p_partkey) % 90 + 10')} END AS cost_per_km_eur
       FROM part""",
     "raw_handling": f"""

@@ -6,6 +6,8 @@ node-by-node distance table where the library aggregates, reuses windows or look
 
 from __future__ import annotations
 
+import re
+
 from checks.feeds import SQL as FEED_SQL
 from checks.feeds import with_clause
 from freightloom.schemas import FEEDS
@@ -42,8 +44,8 @@ def rnd(expr: str, places: int) -> str:
 
 
 def number_cast(expr: str, kind: str = "DOUBLE") -> str:
-    """A cast that reads only plain numbers, as Spark does (DuckDB alone also rounds '3.7' to 4)."""
-    shape = r"^[+-]?[0-9]+$" if kind == "BIGINT" else r"^[+-]?[0-9]*\.?[0-9]+$"
+    """A cast that reads only plain numbers, with an exponent or without (DuckDB alone also rounds '3.7' to 4)."""
+    shape = r"^[+-]?[0-9]+$" if kind == "BIGINT" else r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
     return f"CASE WHEN regexp_matches({expr}, '{shape}') THEN TRY_CAST({expr} AS {kind}) END"
 
 
@@ -514,7 +516,7 @@ QUERIES: dict[str, str] = {
       CROSS JOIN (SELECT DISTINCT origin_node_id, destination_node_id FROM good_run)""",
     "lane_days_filled": replace("lane_day", "daily_cbm"),
     "linehaul_costs": f"""SELECT date, origin_node_id, destination_node_id, carrier, {rnd('cost', 4)} AS daily_linehaul_cost_eur,
-      cost_is_imputed FROM priced WHERE daily_trucks > 0""",
+      cost_is_imputed FROM priced""",
     "lane_daily_fact": replace("daily", "daily_cbm"),
     "truck_triplets": replace("truck_triplet", "triplet_cbm, truck_cbm"),
     "monthly_triplets": replace("triplet", "monthly_triplet_cbm"),
@@ -534,9 +536,11 @@ QUERIES: dict[str, str] = {
       count(*) AS triplets FROM prorated CROSS JOIN threshold GROUP BY ALL""",
     "lane_simulation": f"SELECT * EXCLUDE (origin_node_type, destination_node_type) REPLACE ({doubles(SIM_DOUBLES, 2)}) FROM simulated",
     "lane_simulation_default_thresholds": f"""SELECT {SIM_KEYS}, category, recommended_hub, deprecation_feasible,
-      {rnd('cost_of_recommended_design', 2)} AS cost_of_recommended_design FROM ({advised('138', '322')})""",
+      {rnd('cost_of_recommended_design', 2)} AS cost_of_recommended_design,
+      {rnd('cost_reduction', 2)} AS cost_reduction FROM ({advised('138', '322')})""",
     "lane_simulation_hub_leg": f"""SELECT {SIM_KEYS}, category, recommended_hub,
-      {rnd('cost_of_recommended_design', 2)} AS cost_of_recommended_design FROM ({advised('60', '90', True)})""",
+      {rnd('cost_of_recommended_design', 2)} AS cost_of_recommended_design,
+      {rnd('cost_reduction', 2)} AS cost_reduction FROM ({advised('60', '90', True)})""",
     "container_counts": """SELECT departure_date, origin_node_id, destination_node_id, mtl_container_count,
       box_container_count FROM compliant""",
     "container_compliance": "SELECT * FROM compliant",
@@ -584,6 +588,9 @@ QUERIES: dict[str, str] = {
       LEFT JOIN (SELECT truck_id, count(DISTINCT container_id) AS n FROM wms GROUP BY truck_id) w ON w.truck_id = t.truck_id
       WHERE container_count <> coalesce(n, 0)""",
     "audit_primary_keys": " UNION ALL ".join([
+        repeated("mdm_network", "network", "node_id"),
+        repeated("fin_transport_rates", "rates", "country", "carrier"),
+        repeated("fin_handling_costs", "handling", "node_id"),
         repeated("fin_procurement", "procurement", "item"),
         repeated("mdm_configured_transit_times", "configured", "origin_node_id", "destination_node_id"),
         repeated("wms_shipment_details", "wms", "shipment_id", "truck_id"),
@@ -627,10 +634,16 @@ QUERIES: dict[str, str] = {
 }
 
 
+def trimmed(sql: str) -> str:
+    """``trim`` in these statements takes off white space of any kind, which DuckDB's own does not."""
+    return re.sub(r"\btrim\(((?:[^()]|\([^()]*\))*)\)",
+                  r"regexp_replace(\1, '^[\\s\\x0B\\x{85}\\p{Z}]+|[\\s\\x0B\\x{85}\\p{Z}]+$', '', 'g')", sql)
+
+
 def oracle_queries() -> dict[str, str]:
-    library = {**FEED_SQL, **RELATIONS}
+    library = {**FEED_SQL, **{name: trimmed(body) for name, body in RELATIONS.items()}}
     out = {}
     for name, body in QUERIES.items():
-        needed = {**library, "_final": body}
+        needed = {**library, "_final": trimmed(body)}
         out[name] = with_clause(["_final"], needed, "MATERIALIZED") + "\nSELECT * FROM _final"
     return out

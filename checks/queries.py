@@ -301,7 +301,7 @@ def lane_days_filled(t):
 @query
 def linehaul_costs(t):
     filled = lane_daily.fill_days(lane_daily.lane_carriers(t.tms, t.network))
-    costed = lane_daily.linehaul_cost(filled.filter(F.col("daily_trucks") > 0), t.rates)
+    costed = lane_daily.linehaul_cost(filled, t.rates)
     return rounded(costed.select("date", *LANE, "carrier", "daily_linehaul_cost_eur", "cost_is_imputed"))
 
 
@@ -376,14 +376,15 @@ def lane_simulation(t):
 @query
 def lane_simulation_default_thresholds(t):
     return rounded(simulation.lane_simulation(t.wms, t.tms, t.network, t.rates, t.handling, t.daily).select(
-        *simulation.TRIPLET, "category", "recommended_hub", "deprecation_feasible", "cost_of_recommended_design"), 2)
+        *simulation.TRIPLET, "category", "recommended_hub", "deprecation_feasible", "cost_of_recommended_design",
+        "cost_reduction"), 2)
 
 
 @query
 def lane_simulation_hub_leg(t):
     return rounded(simulation.lane_simulation(
         t.wms, t.tms, t.network, t.rates, t.handling, t.daily, thin=60, thick=90, hub_leg=True).select(
-        *simulation.TRIPLET, "category", "recommended_hub", "cost_of_recommended_design"), 2)
+        *simulation.TRIPLET, "category", "recommended_hub", "cost_of_recommended_design", "cost_reduction"), 2)
 
 
 # -- compliance and transit -------------------------------------------------------------------
@@ -480,6 +481,9 @@ def audit_container_count(t):
 @query
 def audit_primary_keys(t):
     return audits.primary_key_violations({
+        "mdm_network": (t.network, ["node_id"]),
+        "fin_transport_rates": (t.rates, ["country", "carrier"]),
+        "fin_handling_costs": (t.handling, ["node_id"]),
         "fin_procurement": (t.procurement, ["item"]),
         "mdm_configured_transit_times": (t.configured, LANE),
         "wms_shipment_details": (t.wms, ["shipment_id", "truck_id"]),

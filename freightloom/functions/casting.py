@@ -23,19 +23,34 @@ TRUE_WORDS = ("yes", "true", "1")
 FALSE_WORDS = ("no", "false", "0")
 
 
+# Shape of number texts: a cast alone would also read type suffixes (12.5d) and hexadecimal floats.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
+NOT_FINITE = r"(?i)^\s*([+-]?inf(inity)?|nan)\s*\z"
+EDGE_SPACE = r"^[\s\x{85}\p{Z}]+|[\s\x{85}\p{Z}]+\z"
+
+
 def safe_cast(col: Column, dtype: str) -> Column:
     """Cast, or NULL where the text cannot be read as ``dtype``."""
+    if dtype in ("double", "float"):
+        return F.when(col.rlike(NUMBER) | col.rlike(NOT_FINITE), col.try_cast(dtype))
+    if dtype.startswith("decimal"):
+        return F.when(col.rlike(NUMBER), col.try_cast(dtype))
     return col.try_cast(dtype)
 
 
+def trim_all(col: Column) -> Column:
+    """Without white space of any kind at both ends: tabs, line ends and no-break spaces too."""
+    return F.regexp_replace(col, EDGE_SPACE, "")
+
+
 def blank_to_null(col: Column, trim: bool = True) -> Column:
     """NULL for the empty string; with ``trim`` also for white space only."""
-    return F.nullif(F.trim(col) if trim else col, F.lit(""))
+    return F.nullif(trim_all(col) if trim else col, F.lit(""))
 
 
 def norm(col: Column, case: str | None = None, trim: bool = True) -> Column:
     """Trim and optionally fold the case (``"upper"`` or ``"lower"``)."""
-    out = F.trim(col) if trim else col
+    out = trim_all(col) if trim else col
     return {None: out, "upper": F.upper(out), "lower": F.lower(out)}[case]
 
 

@@ -15,8 +15,8 @@ MAX_BROADCAST_ROWS = 200_000
 def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark a frame for broadcast only after counting that it has at most ``max_rows`` rows.
 
-    The count stops at ``max_rows + 1`` rows, so it is cheap on a written table; publish an expensive
-    reference table before it is used.  A larger frame comes back without a hint, so its
+    For written tables only: the count stops at ``max_rows + 1`` rows, so it is cheap there, and would run
+    the plan of a derived frame a second time; leave such a frame's joins to adaptive execution.  A larger frame comes back without a hint, so its
     joins shuffle and adaptive execution splits their skewed partitions.
     """
     fits = df.limit(max_rows + 1).count() <= max_rows
@@ -67,7 +67,7 @@ def member_flag(df: DataFrame, value: str, members: DataFrame, out: str) -> Data
     """
     column = members.columns[0]
     distinct = members.select(F.col(column).alias("_member")).distinct()
-    known = bounded(distinct.filter(F.col("_member").isNotNull()))
+    known = distinct.filter(F.col("_member").isNotNull())
     facts = distinct.agg(
         F.struct(
             F.coalesce(F.bool_or(F.col("_member").isNull()), F.lit(False)).alias("has_null"),

@@ -120,7 +120,7 @@ def unreachable_nodes(network: DataFrame, lanes: DataFrame) -> DataFrame:
     """Delivery nodes at which no lane of ``lanes`` ends."""
     served = lanes.select(F.col("destination_node_id").alias("node_id")).distinct()
     return network.filter(F.col("node_type") == "delivery_node").select("node_id", "city", "country").join(
-        bounded(served), "node_id", "left_anti")
+        served, "node_id", "left_anti")
 
 
 def container_reconciliation(tms: DataFrame, wms: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightloom.functions.casting import norm, parse_date
+from freightloom.functions.casting import norm, parse_date, trim_all
 from freightloom.functions.flags import flag, reference_rules, score
 from freightloom.operators.keep_first import COPIES, keep_first, null_safe_key, ordinal_columns
 from freightloom.operators.lookup import bounded, node_lookup
@@ -34,7 +34,7 @@ def container_type(container_id):
 
 def _key_text(key: str):
     """Trimmed id behind a null-safe key; NULL for the NULL key."""
-    return F.when(F.col(key) != "", F.trim(F.expr(f"substring({key}, 2)")))
+    return F.when(F.col(key) != "", trim_all(F.expr(f"substring({key}, 2)")))
 
 
 def raw_keys(bronze: DataFrame) -> DataFrame:

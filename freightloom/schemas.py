@@ -61,7 +61,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in fields.items()])
 
 
-# Typed columns of the quality-scored tables (flag columns, all strings, come on top).
+# Typed columns of the quality-scored tables (flag columns, all strings, come on top).
 CONTRACT: dict[str, T.StructType] = {
     "mdm_network": _struct(
         node_id=S, node_type=S, city=S, country=S, latitude=NUMERIC, longitude=NUMERIC,

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightloom.schemas import FEEDS
 
-STATUS = "table_name string, status string, row_count bigint, bad_records bigint"
+STATUS = "table_name string, status string, row_count bigint, bad_records bigint, message string"
 CORRUPT = "_malformed"
+MESSAGE_CHARS = 500
 QUOTED_FIELD = r'(?<=^|,)"(?:[^"]|"")*"(?=,|\s*\z)'
 
 
@@ -45,6 +46,11 @@ def read_bronze_csv(
     return df
 
 
+def too_long(columns: int) -> Column:
+    """Whether the text of a row marked as malformed has more than ``columns`` fields."""
+    return F.size(F.split(F.regexp_replace(CORRUPT, QUOTED_FIELD, ""), ",")) > columns
+
+
 def overlong_rows(spark: SparkSession, path: str, columns: int, multiline: bool = True) -> DataFrame:
     """Rows with more fields than the header.  A plain read would cut them without a word.
 
@@ -53,9 +59,8 @@ def overlong_rows(spark: SparkSession, path: str, columns: int, multiline: bool
     """
     names = [f"c{i}" for i in range(columns)] + [CORRUPT]
     df = _csv(spark, path, _all_strings(names), multiline, columnPruning=False, columnNameOfCorruptRecord=CORRUPT)
-    fields = F.size(F.split(F.regexp_replace(CORRUPT, QUOTED_FIELD, ""), ","))
     # the reader refuses a query of its marker column alone, hence the second column
-    return df.filter((fields > columns) & (F.coalesce("c0", F.lit("")) != CORRUPT))
+    return df.filter(too_long(columns) & (F.coalesce("c0", F.lit("")) != CORRUPT))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -65,15 +70,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def load_table(
     spark: SparkSession, path: str, out: str, table: str, multiline: bool = True
-) -> tuple[str, str, int, int]:
-    """Replace one bronze table; (name, status, rows, bad rows).  A bad row stops the load of the table."""
+) -> tuple[str, str, int, int, str | None]:
+    """Replace one bronze table; (name, status, rows, bad rows, message).  A bad row stops the load of the table."""
     if not _exists(spark, path):
-        return table, "SKIPPED", 0, 0
+        return table, "SKIPPED", 0, 0, f"no {path}"
     bad = overlong_rows(spark, path, len(FEEDS[table].columns), multiline).count()
     if bad:
-        return table, "REJECTED", 0, bad
+        return table, "REJECTED", 0, bad, "rows with more fields than the header"
     read_bronze_csv(spark, path, table, multiline, with_ordinal=True).write.mode("overwrite").parquet(out)
-    return table, "OK", spark.read.parquet(out).count(), 0
+    return table, "OK", spark.read.parquet(out).count(), 0, None
 
 
 def load_all(spark: SparkSession, source_dir: str, out_dir: str, multiline: bool = True) -> DataFrame:
@@ -82,6 +87,6 @@ def load_all(spark: SparkSession, source_dir: str, out_dir: str, multiline: bool
     for table in FEEDS:
         try:
             rows.append(load_table(spark, f"{source_dir}/{table}.csv", f"{out_dir}/{table}", table, multiline))
-        except (Py4JJavaError, PySparkException):
-            rows.append((table, "FAILED", 0, 0))
+        except (Py4JJavaError, PySparkException) as error:
+            rows.append((table, "FAILED", 0, 0, str(error)[:MESSAGE_CHARS]))
     return spark.createDataFrame(rows, STATUS)

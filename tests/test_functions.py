@@ -22,6 +22,13 @@ def test_safe_cast_and_blanks(spark):
     texts = ["1.5", "", " ", "abc", None, " 2 "]
     assert values(spark, texts, lambda c: C.safe_cast(C.blank_to_null(c), "double")) == [1.5, None, None, None, None, 2.0]
     assert values(spark, ["", " ", "a"], lambda c: C.blank_to_null(c, trim=False)) == [None, " ", "a"]
+    shapes = ["12.5d", "3f", "0x1p3", "1e3", ".5", "5.", "-1.5E-1", "1.2.3", "\t7\n", "inf"]
+    assert values(spark, shapes, lambda c: C.safe_cast(c, "double")) == [
+        None, None, None, 1000.0, 0.5, 5.0, -0.15, None, 7.0, math.inf]
+    assert values(spark, ["1.2d", "1e1", "inf"], lambda c: C.safe_cast(c, C.NUMERIC)) == [None, Decimal(10), None]
+    spaces = ["\tA\r\n", "\u00a0 B\u2003", "a b", "\u3000", "\x85C\x0b"]
+    assert values(spark, spaces, C.trim_all) == ["A", "B", "a b", "", "C"]
+    assert values(spark, ["\u00a0\t"], C.blank_to_null) == [None]
     assert values(spark, ["3", "3.7", "x"], lambda c: C.safe_cast(c, "bigint"))[::2] == [3, None]
     assert values(spark, ["1.1234567895"], lambda c: C.safe_cast(c, C.NUMERIC)) == [Decimal("1.123456790")]
 

@@ -39,6 +39,8 @@ def test_load_all_statuses(spark, tmp_path):
     got = {r.table_name: (r.status, r.row_count) for r in load_all(spark, str(tmp_path), str(tmp_path / "out")).collect()}
     assert got["fin_handling_costs"] == ("OK", 2) and got["fin_procurement"] == ("REJECTED", 0)
     assert got["mdm_network"] == ("FAILED", 0)
+    messages = {r.table_name: r.message for r in load_all(spark, str(tmp_path), str(tmp_path / "again")).collect()}
+    assert messages["fin_handling_costs"] is None and messages["mdm_network"] and "fields" in messages["fin_procurement"]
     assert {t: s for t, (s, _) in got.items() if s == "SKIPPED"}.keys() == set(FEEDS) - {
         "fin_handling_costs", "fin_procurement", "mdm_network"}
 
@@ -77,6 +79,37 @@ def test_append_loads_each_file_once(spark, tmp_path):
         append_bronze(spark, str(source), out, mark, "mdm_network")
 
 
+def test_append_rejects_overlong_rows(spark, tmp_path):
+    source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+    bad = write(source, "wms_shipment_details", "SHP_1,T,M,2025-01-01,A,B,C", "SHP_2,T,M,2025-01-01,A,B,C,more", name="a.csv")
+    with pytest.raises(Exception, match="1 rows with more fields"):
+        append_bronze(spark, str(source), out, mark, "wms_shipment_details").awaitTermination(60)
+    assert not (tmp_path / "out").exists()
+    write(source, "wms_shipment_details", "SHP_1,T,M,2025-01-01,A,B,C", 'SHP_2,T,"M,1",2025-01-01', name=bad.rsplit("/", 1)[1])
+    append_bronze(spark, str(source), out, str(tmp_path / "mark2"), "wms_shipment_details").awaitTermination(60)
+    assert {r.shipment_id: r.container_id for r in spark.read.parquet(out).collect()} == {"SHP_1": "M", "SHP_2": "M,1"}
+
+
+def test_append_and_full_load_have_the_same_first_rows(spark, tmp_path):
+    from freightloom.operators.keep_first import keep_first
+    source = tmp_path / "in" / "wms_shipment_details.csv"
+    write(source, "wms_shipment_details", "SHP_1,T,M_9,2025-01-01,A,B,C", "SHP_1,T,M_1,2025-01-01,A,B,C", name="a.csv")
+    out = str(tmp_path / "appended")
+
+    def append():
+        append_bronze(spark, str(source), out, str(tmp_path / "mark"), "wms_shipment_details").awaitTermination(60)
+
+    append()
+    write(source, "wms_shipment_details", "SHP_1,T,M_0,2025-01-01,A,B,C", "SHP_2,T,M_5,2025-01-01,A,B,C", name="b.csv")
+    append()
+    assert load_all(spark, str(tmp_path / "in"), str(tmp_path / "full")).where("status = 'OK'").count() == 1
+    firsts = [
+        {r.shipment_id: r.container_id for r in keep_first(df.select(*FEEDS["wms_shipment_details"].columns, "_src_file", "_ord"),
+                                                           ["shipment_id", "truck_id"]).collect()}
+        for df in (spark.read.parquet(out), spark.read.parquet(str(tmp_path / "full/wms_shipment_details")))]
+    assert firsts[0] == firsts[1] == {"SHP_1": "M_9", "SHP_2": "M_5"}
+
+
 def test_refresh_end_to_end(spark, tmp_path):
     source, base = tmp_path / "csv", str(tmp_path / "lake")
     write(source, "mdm_network", "ON_AA,origin_node,Lyon,FR,45.75,4.85,ALL", "DN_AA,delivery_node,Paris,FR,48.86,2.35,MTL",
