@@ -22,6 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
+#: Feed and extract it stands for.
+EXTRACTS = {
+    "network": "mdm_network", "rates": "fin_transport_rates", "handling": "fin_handling_costs",
+    "procurement": "fin_procurement", "configured": "mdm_configured_transit_times", "tms": "tms_transportation",
+    "wms": "wms_shipment_details"}
+
 
 def letter(n: str) -> str:
     return f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST({n} AS INT) + 1, 1)"

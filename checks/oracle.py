@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from checks.feeds import EXTRACTS
 from checks.feeds import SQL as FEED_SQL
 from checks.feeds import with_clause
 from freightloom.schemas import FEEDS
@@ -39,6 +40,11 @@ def first(table: str, feed: str, keys: str, select: str = "*") -> str:
       count(*) OVER (PARTITION BY {keys}) AS copies FROM {table}) WHERE rn = 1"""
 
 
+def as_loaded(feed: str, table: str) -> str:
+    """Rows as a CSV file gives them back: an empty field is NULL."""
+    return f"SELECT {', '.join(f'nullif({c}, {chr(39) * 2}) AS {c}' for c in FEEDS[feed].columns)} FROM {table}"
+
+
 def rnd(expr: str, places: int) -> str:
     return f"CAST(round(TRY_CAST(({expr}) AS DECIMAL(38,9)), {places}) AS DOUBLE)"
 
@@ -476,6 +482,11 @@ QUERIES: dict[str, str] = {
     "latest_run_per_lane": """SELECT origin_node_id, destination_node_id, departure_datetime, truck_id, carrier, transit_time_hours
       FROM good_run QUALIFY row_number() OVER (PARTITION BY origin_node_id, destination_node_id
         ORDER BY departure_datetime DESC, truck_id DESC) = 1""",
+    "load_status": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, 'OK' AS status, count(*) AS row_count, 0 AS bad_records FROM raw_{name}"
+        for name, table in EXTRACTS.items()),
+    "loaded_runs": as_loaded("tms_transportation", "raw_tms"),
+    "appended_legs": as_loaded("wms_shipment_details", "raw_wms"),
     "distinct_lane_carriers": """SELECT DISTINCT origin_node_id, destination_node_id, coalesce(carrier, 'UNKNOWN') AS carrier
       FROM good_run""",
     "silver_network": "SELECT * FROM network",
@@ -518,6 +529,7 @@ QUERIES: dict[str, str] = {
     "linehaul_costs": f"""SELECT date, origin_node_id, destination_node_id, carrier, {rnd('cost', 4)} AS daily_linehaul_cost_eur,
       cost_is_imputed FROM priced""",
     "lane_daily_fact": replace("daily", "daily_cbm"),
+    "clustered_lane_daily": replace("daily", "daily_cbm"),
     "truck_triplets": replace("truck_triplet", "triplet_cbm, truck_cbm"),
     "monthly_triplets": replace("triplet", "monthly_triplet_cbm"),
     "hub_totals": replace("hub_total", "total_hub_dn_cbm"),

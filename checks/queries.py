@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.feeds import feed
+from checks.feeds import EXTRACTS, feed
 from freightloom.functions import casting as C
 from freightloom.functions.flags import usable
 from freightloom.operators import distances, lookup
@@ -18,9 +19,12 @@ from freightloom.plans import master_data as md
 from freightloom.plans.lane_daily import LANE
 from freightloom.plans.shipments import silver_wms
 from freightloom.plans.transport import silver_tms
+from freightloom.schemas import FEEDS
+from freightloom.sources.bronze import load_all
 from freightloom.sources.sinks import publish
 from freightloom.sources.spine import spread_over_days
 from freightloom.sources.workspace import new_workspace
+from freightloom.streaming.append import append_bronze
 
 
 class Tables:
@@ -44,6 +48,20 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self._kept("bronze", name, lambda: feed(self.spark, self.sf_dir, f"raw_{name}"))
 
+    def csv(self, name: str, drop: str = "extracts", df: DataFrame | None = None) -> str:
+        """Folder of CSV files as delivered: blanks as they are, quotes doubled."""
+        path = f"{self.base}/{drop}/{EXTRACTS[name]}.csv"
+        (self.raw(name) if df is None else df).write.mode("append").options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+        return path
+
+    @cached_property
+    def load_status(self) -> DataFrame:
+        """All extracts written as CSV and loaded; the status of each."""
+        for name in EXTRACTS:
+            self.csv(name)
+        return load_all(self.spark, f"{self.base}/extracts", f"{self.base}/loaded")
+
     def plan(self, name: str) -> DataFrame:
         return PLANS[name](self)
 
@@ -96,6 +114,36 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
     return build
 
 
+# -- loads and sinks --------------------------------------------------------------------------
+
+@query
+def load_status(t):
+    return t.load_status.select("table_name", "status", "row_count", "bad_records")
+
+
+@query
+def loaded_runs(t):
+    t.load_status  # noqa: B018  (the load itself)
+    return t.spark.read.parquet(f"{t.base}/loaded/tms_transportation").select(*FEEDS["tms_transportation"].columns)
+
+
+@query
+def appended_legs(t):
+    """Legs that arrive in two drops, each appended by its own refresh."""
+    out, late = f"{t.base}/appended", F.pmod(F.crc32(F.coalesce("shipment_id", F.lit("")).cast("binary")), F.lit(2)) == 1
+    if "appended" not in t._published:
+        for drop in (~late, late):
+            folder = t.csv("wms", "arrivals", t.raw("wms").filter(drop))
+            append_bronze(t.spark, folder, out, f"{t.base}/arrivals_seen", "wms_shipment_details").awaitTermination()
+        t._published["appended"] = t.spark.read.parquet(out)
+    return t._published["appended"].select(*FEEDS["wms_shipment_details"].columns)
+
+
+@query
+def clustered_lane_daily(t):
+    return rounded(publish(t.daily, t.base, "gold", "fact_lane_daily", ["date", "origin_node_id"]))
+
+
 # -- casts, normalisation, correction ---------------------------------------------------------
 
 @query

@@ -8,13 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-SLICES = 64
+#: Different values sampled for each cut point of a large group.
+PER_CUT = 8
 
 
-def value_slices(df: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
-    """One row, one array: ascending cut points that split the rows of ``df`` into about equal slices."""
-    fractions = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    return df.agg(F.percentile_approx(value, fractions).alias("_cuts"))
+def _same(left: str, right: str, keys: Sequence[str]):
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
+
+def value_cuts(counts: DataFrame, keys: Sequence[str], value: str, slices: int) -> DataFrame:
+    """Ascending cut points (``_cuts``) of each group with more than ``PER_CUT * slices`` different values.
+
+    ``counts`` has one row per group and value.  About ``PER_CUT * slices`` values of a group are taken by
+    their hash, so a list is that long however large the group is, and a retry takes the same values.
+    """
+    wanted = PER_CUT * slices
+    large = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values")).filter(F.col("_values") > wanted)
+    sampled = counts.alias("_c").join(large.alias("_l"), _same("_c", "_l", keys)).filter(
+        F.pmod(F.xxhash64(f"_c.{value}"), F.col("_values")) < wanted)
+    listed = sampled.groupBy(*[F.col(f"_c.{k}").alias(k) for k in keys]).agg(
+        F.array_sort(F.collect_list(f"_c.{value}")).alias("_taken"))
+    return listed.select(*keys, F.filter("_taken", lambda _, i: i % PER_CUT == PER_CUT - 1).alias("_cuts"))
 
 
 def percentiles(
@@ -25,26 +39,26 @@ def percentiles(
     ``points`` maps output column to fraction.  The built-in exact percentile holds all distinct
     values of a group in one buffer, and a plain ranking window sorts a group in one task.  Here equal
     values are counted before the shuffle, and ranks are built in two steps: a running count inside
-    (group, value slice), plus the count of all lower slices.  The slices are cut from the values of
-    the whole frame, so none holds much more than 1/64 of the rows, however large one group is.  The
-    cuts are approximate, the ranks are exact for any cuts.
+    (group, value slice), plus the count of all lower slices.  A large group has about as many slices as
+    the session has shuffle partitions, each with nearly as many of its different values.  The cuts are
+    approximate, the ranks are exact for any cuts.
     """
-    present = df.filter(F.col(value).isNotNull())
-    cuts = value_slices(present, value).scalar()
-    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(value))), F.lit(0))
-    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_cuts", cuts).withColumn(
-        "_slice", below).drop("_cuts")
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(f"_v.{value}"))), F.lit(0))
+    counts = values.alias("_v").join(
+        value_cuts(values, keys, value, slices).alias("_k"), _same("_v", "_k", keys), "left").select(
+        *[F.col(f"_v.{c}").alias(c) for c in (*keys, value, "_n")], below.alias("_slice"))
     cell = [*keys, "_slice"]
-    # a group has at most 64 slices, so this window is small for every group
+    # a group has about as many slices as there are shuffle partitions, so this window is small for every group
     group = W.partitionBy(*keys)
-    slices = counts.groupBy(*cell).agg(F.sum("_n").alias("_in_slice")).withColumns({
+    lower = counts.groupBy(*cell).agg(F.sum("_n").alias("_in_slice")).withColumns({
         "_before": F.sum("_in_slice").over(group.orderBy("_slice").rowsBetween(W.unboundedPreceding, W.currentRow))
         - F.col("_in_slice"),
         "_total": F.sum("_in_slice").over(group),
     }).drop("_in_slice")
     running = F.sum("_n").over(W.partitionBy(*cell).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
-    same_cell = [F.col(f"_c.{c}").eqNullSafe(F.col(f"_s.{c}")) for c in cell]
-    ranked = counts.withColumn("_running", running).alias("_c").join(slices.alias("_s"), same_cell).select(
+    ranked = counts.withColumn("_running", running).alias("_c").join(lower.alias("_s"), _same("_c", "_s", cell)).select(
         *[F.col(f"_c.{k}").alias(k) for k in keys], F.col(f"_c.{value}").alias(value), "_n", "_total",
         (F.col("_before") + F.col("_running")).alias("_last"))
 

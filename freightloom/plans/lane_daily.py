@@ -48,12 +48,11 @@ def average_rates(rates: DataFrame) -> DataFrame:
 def lane_carriers(tms: DataFrame, network: DataFrame, start: str = START, end: str = END) -> DataFrame:
     """One row per (lane, carrier) ever run, with endpoint attributes, distance and its days in the period.
 
-    ``_days`` maps a date to the measures of that date and cannot hold more entries than the period
-    has days.  Lanes with an unusable endpoint drop out here, after the runs have been aggregated.
+    ``_days`` lists the measures of its run dates and cannot hold more entries than the period has days.  Lanes with an unusable endpoint drop out here, after the runs have been aggregated.
     """
     in_period = F.col("departure_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    entry = F.when(in_period, F.struct(F.col("departure_date").alias("key"), F.struct(*MEASURES).alias("value")))
-    grouped = daily_actuals(tms).groupBy(*LANE_CARRIER).agg(F.map_from_entries(F.collect_list(entry)).alias("_days"))
+    entry = F.when(in_period, F.struct(F.col("departure_date").alias("date"), *MEASURES))
+    grouped = daily_actuals(tms).groupBy(*LANE_CARRIER).agg(F.collect_list(entry).alias("_days"))
     ends = usable_endpoints(grouped, network, *LANE)
     return ends.withColumn("distance_km", haversine_km(*[
         F.col(f"{end}_node_{axis}") for end in ("origin", "destination") for axis in ("latitude", "longitude")
@@ -61,17 +60,20 @@ def lane_carriers(tms: DataFrame, network: DataFrame, start: str = START, end: s
 
 
 def fill_days(lanes: DataFrame, start: str = START, end: str = END) -> DataFrame:
-    """One row per day: all days of the period for a known carrier, run days only for the unknown one."""
-    unknown = F.col("carrier") == UNKNOWN
-    dates = F.when(unknown, F.map_keys("_days")).otherwise(days(start, end))
-    daily = lanes.select(F.explode(dates).alias("date"), "*").withColumn("_day", F.col("_days")[F.col("date")])
-
-    def measure(name):
-        seen = F.col("_day")[name]
-        return F.when(unknown, seen).otherwise(F.coalesce(seen, F.lit(0))).alias(name)
+    """One row per day: all days of the period for a known carrier, run days only for the unknown one.
 
+    A known carrier's run days are added to a zero entry per day.  The aggregate keeps the partitioning by lane
+    and carrier, so nothing is shuffled, and its work is linear in the days.
+    """
+    types = {f.name: f.dataType for f in lanes.schema["_days"].dataType.elementType}
+    zero = F.transform(days(start, end), lambda day: F.struct(
+        day.alias("date"), *[F.lit(0).cast(types[m]).alias(m) for m in MEASURES]))
+    entries = F.when(F.col("carrier") == UNKNOWN, F.col("_days")).otherwise(F.concat("_days", zero))
     attributes = [c for c in lanes.columns if c != "_days"]
-    return daily.select("date", *attributes, *[measure(m) for m in MEASURES])
+    return (
+        lanes.select(*attributes, F.explode(entries).alias("_day")).select(*attributes, "_day.*")
+        .groupBy("date", *attributes).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    )
 
 
 def linehaul_cost(df: DataFrame, rates: DataFrame) -> DataFrame:

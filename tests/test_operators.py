@@ -9,7 +9,7 @@ from freightloom.functions.geo import haversine_km
 from freightloom.operators.distances import lane_distances, nearest_nodes
 from freightloom.operators.keep_first import keep_first, qualify_first
 from freightloom.operators.lookup import bounded, member_flag
-from freightloom.operators.percentiles import percentiles
+from freightloom.operators.percentiles import percentiles, value_cuts
 from freightloom.sources.spine import date_spine, spread_over_days
 
 
@@ -144,3 +144,13 @@ def test_percentiles_with_null_group_and_no_rows(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None)], "k string, v double")
     assert [(r.k, r.m) for r in percentiles(df, ["k"], "v", {"m": 0.5}).collect()] == [(None, 2.0)]
     assert percentiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
+
+
+def test_percentiles_gather_nothing_in_one_task(spark):
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 50 as string)) as k", "cast(id * 37 % 4999 as double) as v")
+    got = percentiles(df, ["k"], "v", {"m": 0.5})
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    cuts = {r.k: len(r["_cuts"]) for r in value_cuts(df.groupBy("k", "v").count(), ["k"], "v", 4).collect()}
+    assert cuts.pop("hot") in range(1, 12) and all(n < 12 for n in cuts.values())
+    values = sorted(r.v for r in df.where("k = 'hot'").collect())
+    assert np.isclose(got.where("k = 'hot'").first().m, np.percentile(values, 50))
