@@ -90,6 +90,8 @@ _cbm = "CASE WHEN k % 200 = 77 THEN 130 ELSE 60 + (3 * k) % 40 END * containers"
 _origin = f"CASE WHEN leg = 2 THEN {node('CH', 'rk')} ELSE {node('ON', 'base % 5')} END"
 _destination = f"CASE WHEN leg = 1 THEN {node('CH', 'rk')} ELSE {node('DN', 'nk')} END"
 _line = "(10 * r.k + l.l_linenumber)"
+# containers are named by the truck they first ride on; some go on from the hub with the second truck
+_container_truck = f"CASE WHEN {_line} % 20 = 3 THEN r.base ELSE r.k END"
 _order_day = f"r.day - 1 - l.l_linenumber + CASE WHEN {_line} % 200 = 9 THEN 20 ELSE 0 END"
 
 SQL: dict[str, str] = {
@@ -136,7 +138,7 @@ SQL: dict[str, str] = {
           || 'SHP_' || {text('10 * r.base + l.l_linenumber', 9)} AS shipment_id,
         CASE WHEN {_line} % 3000 = 15 THEN NULL ELSE 'TRK_' || {text('r.k', 7)} END AS truck_id,
         CASE WHEN {_line} % 300 = 7 THEN 'M-' WHEN l.l_returnflag = 'R' THEN 'BOX_' ELSE 'MTL_' END
-          || 'TRK_' || {text('r.k', 7)} || '_' || {text('l.l_linenumber', 3)} AS container_id,
+          || 'TRK_' || {text(_container_truck, 7)} || '_' || {text('l.l_linenumber', 3)} AS container_id,
         CASE WHEN {_line} % 1000 = 13 THEN 'n/a' WHEN {_line} % 150 = 11 THEN {day_first(day_text(_order_day))}
              ELSE {day_text(_order_day)} END AS order_date,
         CASE WHEN {_line} % 500 = 21 THEN 'ON_ZZ' ELSE r.origin END AS origin_node_id,

@@ -406,6 +406,12 @@ SIM_DOUBLES = ("distance1_km, distance2_km, direct_distance_km, adjusted_triplet
                "monthly_triplet_cbm, processing_cost_ratio, leg1_avg_fixed_cost_eur, leg1_avg_cost_per_km_eur, "
                "leg2_avg_fixed_cost_eur, leg2_avg_cost_per_km_eur, current_monthly_costs, monthly_processing_costs, "
                "cost_of_recommended_design, cost_reduction")
+
+
+def simulation(relation: str) -> str:
+    return f"SELECT * EXCLUDE (origin_node_type, destination_node_type) REPLACE ({doubles(SIM_DOUBLES, 2)}) FROM {relation}"
+
+
 RATED = "leg1_avg_fixed_cost_eur, leg1_avg_cost_per_km_eur, leg2_avg_fixed_cost_eur, leg2_avg_cost_per_km_eur"
 
 
@@ -546,13 +552,9 @@ QUERIES: dict[str, str] = {
     "calibrated_categories": """SELECT triplet_type, CASE WHEN triplet_type = 'indirect' AND adjusted_triplet_cbm > thick_cbm
       THEN 'thick' WHEN triplet_type = 'direct' AND adjusted_triplet_cbm < thin_cbm THEN 'thin' ELSE 'healthy' END AS category,
       count(*) AS triplets FROM prorated CROSS JOIN threshold GROUP BY ALL""",
-    "lane_simulation": f"SELECT * EXCLUDE (origin_node_type, destination_node_type) REPLACE ({doubles(SIM_DOUBLES, 2)}) FROM simulated",
-    "lane_simulation_default_thresholds": f"""SELECT {SIM_KEYS}, category, recommended_hub, deprecation_feasible,
-      {rnd('cost_of_recommended_design', 2)} AS cost_of_recommended_design,
-      {rnd('cost_reduction', 2)} AS cost_reduction FROM ({advised('138', '322')})""",
-    "lane_simulation_hub_leg": f"""SELECT {SIM_KEYS}, category, recommended_hub,
-      {rnd('cost_of_recommended_design', 2)} AS cost_of_recommended_design,
-      {rnd('cost_reduction', 2)} AS cost_reduction FROM ({advised('60', '90', True)})""",
+    "lane_simulation": simulation("simulated"),
+    "lane_simulation_default_thresholds": simulation(f"({advised('138', '322')})"),
+    "lane_simulation_hub_leg": simulation(f"({advised('60', '90', True)})"),
     "container_counts": """SELECT departure_date, origin_node_id, destination_node_id, mtl_container_count,
       box_container_count FROM compliant""",
     "container_compliance": "SELECT * FROM compliant",
@@ -584,9 +586,9 @@ QUERIES: dict[str, str] = {
       WHERE starts_with(origin_node_id, 'ON_') AND sort_code IS NOT NULL GROUP BY ALL
       HAVING count(DISTINCT destination_node_id = sort_code) > 1""",
     "audit_hub_containers": """SELECT i.hub AS hub_node_id, i.container_id, i.n AS inbound_legs, o.n AS outbound_legs
-      FROM (SELECT destination_node_id AS hub, shipment_id AS container_id, count(*) AS n FROM wms
+      FROM (SELECT destination_node_id AS hub, container_id, count(*) AS n FROM wms
             WHERE starts_with(destination_node_id, 'CH_') GROUP BY ALL) i
-      JOIN (SELECT origin_node_id AS hub, shipment_id AS container_id, count(*) AS n FROM wms
+      JOIN (SELECT origin_node_id AS hub, container_id, count(*) AS n FROM wms
             WHERE starts_with(origin_node_id, 'CH_') GROUP BY ALL) o ON o.hub = i.hub AND o.container_id = i.container_id""",
     "audit_foreign_keys": " UNION ALL ".join([
         *[orphan("tms_transportation", "tms", c, "network", "node_id") for c in ("origin_node_id", "destination_node_id")],

@@ -423,16 +423,13 @@ def lane_simulation(t):
 
 @query
 def lane_simulation_default_thresholds(t):
-    return rounded(simulation.lane_simulation(t.wms, t.tms, t.network, t.rates, t.handling, t.daily).select(
-        *simulation.TRIPLET, "category", "recommended_hub", "deprecation_feasible", "cost_of_recommended_design",
-        "cost_reduction"), 2)
+    return rounded(simulation.lane_simulation(t.wms, t.tms, t.network, t.rates, t.handling, t.daily), 2)
 
 
 @query
 def lane_simulation_hub_leg(t):
     return rounded(simulation.lane_simulation(
-        t.wms, t.tms, t.network, t.rates, t.handling, t.daily, thin=60, thick=90, hub_leg=True).select(
-        *simulation.TRIPLET, "category", "recommended_hub", "cost_of_recommended_design", "cost_reduction"), 2)
+        t.wms, t.tms, t.network, t.rates, t.handling, t.daily, thin=60, thick=90, hub_leg=True), 2)
 
 
 # -- compliance and transit -------------------------------------------------------------------
@@ -506,8 +503,7 @@ def audit_path_types(t):
 
 @query
 def audit_hub_containers(t):
-    # the feed names containers by truck, so hub reuse is audited on the shipment number instead
-    return audits.reused_hub_containers(t.wms.withColumn("container_id", F.col("shipment_id")))
+    return audits.reused_hub_containers(t.wms)
 
 
 @query

@@ -94,13 +94,19 @@ def reused_hub_containers(wms: DataFrame) -> DataFrame:
     ).filter((F.col("inbound_legs") > 0) & (F.col("outbound_legs") > 0))
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, key: str, table: str) -> DataFrame:
-    """Values of a foreign key without a parent row, with the number of rows that carry them."""
-    values = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
-        F.count(F.lit(1)).alias("row_count"))
+def orphans(child: DataFrame, columns: Sequence[str], parent: DataFrame, key: str, table: str) -> DataFrame:
+    """Values of foreign keys to one parent without a row there, with the number of rows that carry them.
+
+    The child is read once: its combinations of keys are counted first and taken apart then.
+    """
+    combined = child.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+    each = combined.select("rows", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns])).alias("k"))
+    values = each.select("k.*", "rows").filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
+        F.sum("rows").alias("row_count"))
     keys = parent.select(F.col(key).alias("value"))
     return values.join(keys, "value", "left_anti").select(
-        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "value", "row_count")
+        F.lit(table).alias("table_name"), "column_name", "value", "row_count")
 
 
 def foreign_key_orphans(
@@ -108,11 +114,13 @@ def foreign_key_orphans(
 ) -> DataFrame:
     """Orphans of every foreign key in the contract."""
     network = bounded(network)
-    checks = [orphans(tms, c, network, "node_id", "tms_transportation") for c in LANE]
-    checks += [orphans(wms, c, network, "node_id", "wms_shipment_details") for c in (*LANE, "sort_code")]
-    checks.append(orphans(wms, "truck_id", tms, "truck_id", "wms_shipment_details"))
+    checks = [
+        orphans(tms, LANE, network, "node_id", "tms_transportation"),
+        orphans(wms, (*LANE, "sort_code"), network, "node_id", "wms_shipment_details"),
+        orphans(wms, ("truck_id",), tms, "truck_id", "wms_shipment_details"),
+    ]
     if handling is not None:
-        checks.append(orphans(handling, "node_id", network, "node_id", "fin_handling_costs"))
+        checks.append(orphans(handling, ("node_id",), network, "node_id", "fin_handling_costs"))
     return reduce(DataFrame.unionByName, checks)
 
 
