@@ -6,7 +6,8 @@ the false positives that the filling of the language's bits predicts.  The large
 go to the language that sorts first.
 
 An n-gram belongs to a language if at least ``SHARE`` of the sampled documents of the language hold it, so a
-foreign passage or a wrong label does not fill the filter.  The filter learns from at most about ``SAMPLE``
+foreign passage or a wrong label does not fill the filter; two documents are needed where a language has them.
+Documents without a letter do not count here.  The filter learns from at most about ``SAMPLE``
 documents per language (a documented bound, by a hash of the id); every whole text is predicted.
 
 Nulls, empty texts and ties: a NULL text, or one without a letter, is ``und`` with score 0; documents without a
@@ -115,13 +116,13 @@ def learn(docs: DataFrame, sample: int = SAMPLE, share: float = SHARE) -> Filter
         for b in batches:
             for lang, text in zip(b["lang"], b["text"]):
                 got = list(grams(text))
-                h = np.unique(np.concatenate(got)).view("<i8") if got else np.zeros(0, np.int64)
-                yield {"lang": [languages.index(lang)] * (len(h) + 1), "gram": [*h.tolist(), None]}
+                h = np.unique(np.concatenate(got)).view("<i8").tolist() + [None] if got else []
+                yield {"lang": [languages.index(lang)] * len(h), "gram": h}
 
     counted = map_rows(some.select("lang", "text"), held, "lang int, gram long").groupBy("lang", "gram").count()
     sizes = counted.where("gram IS NULL").select("lang", F.col("count").alias("size"))
     common = counted.where("gram IS NOT NULL").join(F.broadcast(sizes), "lang").where(
-        F.col("count") >= F.greatest(F.lit(2), F.col("size") * share)).select("lang", "gram")
+        F.col("count") >= F.greatest(F.least(F.lit(2), F.col("size")), F.col("size") * share)).select("lang", "gram")
 
     def places(batches):
         for b in batches:
