@@ -64,7 +64,8 @@ def encoded(points: DataFrame, chunk: int = CHUNK) -> DataFrame:
     def run(batches):
         ids, parts, held = [], [], 0
         for batch in batches:
-            n = batch.num_rows
+            if not (n := batch.num_rows):
+                continue
             ids.append(batch.column("vec_id"))
             parts.append(batch.column("parts").flatten().to_numpy(zero_copy_only=False).reshape(n, -1))
             held += n
@@ -135,7 +136,7 @@ def first_centroids(points: DataFrame, clusters: int = CLUSTERS, seed: int = SEE
     """Vectors of the smallest hashes of ``seed:vec_id``, in hash order."""
     named = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
     rows = points.orderBy(named, "parts").limit(clusters).collect()
-    return np.array([r["parts"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["parts"] for r in rows], np.int64).reshape(len(rows), SIZE)
 
 
 def learn(points: DataFrame, chunks: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS) -> np.ndarray:

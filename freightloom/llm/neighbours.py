@@ -54,7 +54,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 def pivots(rows: DataFrame, count: int = PIVOTS) -> np.ndarray:
     """The ``count`` different vectors of the smallest hashes."""
     found = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(count).collect()
-    return np.array([r["v"] for r in found], float).reshape(len(found), -1)
+    return np.array([r["v"] for r in found], float).reshape(len(found), len(found[0]["v"]) if found else 0)
 
 
 def prefixes(v: np.ndarray, pivot: np.ndarray, length: int) -> np.ndarray:
@@ -91,7 +91,8 @@ def build(rows: DataFrame, pivot: np.ndarray, length: int, block: int = BLOCK) -
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            n = batch.num_rows
+            if not (n := batch.num_rows):
+                continue
             held.append((batch.column("row").to_numpy().astype("<i8"),
                          batch.column("vec_id").fill_null(LAST).to_numpy().astype("<i8"),
                          batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)))
