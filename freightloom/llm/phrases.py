@@ -17,7 +17,7 @@ an aggregate of each task's counts.
 
 Nulls, empty texts, ties: a NULL text is an empty one; a NULL ``lang`` is ``und``; a text without words adds nothing; repeated
 rows count again; equal scores go by the number of occurrences, then by the phrase's bytes; a piece of any length is
-taken in slices that overlap by three words.  Other columns are ignored.  An empty table gives an empty result.
+split in steps that carry over the last words.  Other columns are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,12 +35,16 @@ from freightloom.llm.common import kept
 WORDS, LEAST, TOP, UNKNOWN = 4, 30, 2000, "und"
 #: Score of a phrase that never occurs in parts, and the percentage at which a longer phrase stands for a shorter.
 SCALE, COVERS = 2_000_000, 80
-#: Words a task equalises at a time and words of a slice; wanted and greatest number of suffixes of a target; targets.
-AT_ONCE, SLICE, WANTED, MOST, TARGETS = 2_000_000, 500_000, 750_000, 2_000_000, 1 << 15
-#: A to Z in lower case, stops and line ends as line feeds, tabs as spaces.
-MAPPED = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
+#: Words a task equalises at a time, bytes of a text it splits at a time; wanted and greatest number of suffixes of a
+#: target; targets.
+AT_ONCE, STEP, WANTED, MOST, TARGETS = 1_500_000, 1 << 20, 750_000, 2_000_000, 1 << 15
+#: A to Z in lower case, tabs as spaces, stops and line ends as a byte that UTF-8 does not use.
+END = b"\xff"
+MAPPED = bytes(b + 32 if 65 <= b <= 90 else END[0] if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
 ROUTED = "target int, n long, hottest long, body binary, lang string, word string"
+SHIPPED = pa.schema([("target", pa.int32()), ("n", pa.int64()), ("hottest", pa.int64()), ("body", pa.binary()),
+                     ("lang", pa.string()), ("word", pa.string())])
 
 
 def multikey(keys: list[np.ndarray], times: np.ndarray, least: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -49,39 +53,44 @@ def multikey(keys: list[np.ndarray], times: np.ndarray, least: list[int]) -> Ite
     ``keys[d][p]`` is the key of pointer p at depth d, 0 where its suffix has ended.  The partitions of a round are
     split together, each at the key of its middle pointer.
     """
-    table, depths = np.stack(keys), len(keys)
+    table, depths = np.stack(keys).astype(np.int32), len(keys)
+    flat, width = table.ravel(), table.shape[1]
     enough = np.array([min(least[d:]) for d in range(depths)])
-    pointers = np.arange(table.shape[1])
-    starts, depth = np.zeros(min(1, len(pointers)), np.int64), np.zeros(min(1, len(pointers)), np.int64)
+    pointers = np.arange(width, dtype=np.int32)
+    starts, depth = np.zeros(min(1, width), np.int64), np.zeros(min(1, width), np.int64)
     while len(starts):
         sizes = np.diff(np.append(starts, len(pointers)))
-        mine = np.repeat(np.arange(len(starts)), sizes)
-        key = table[depth[mine], pointers]
+        key = flat[np.repeat(depth * width, sizes) + pointers]
         pivot = key[starts + sizes // 2]
-        part = 3 * mine + (key >= pivot[mine]) + (key > pivot[mine])  # less, equal, greater
-        count = np.bincount(part, minlength=3 * len(starts))
-        first = np.cumsum(count) - count
-        place = np.empty(len(part), np.int64)
-        for side in range(3):
-            here = part % 3 == side
-            rank = np.cumsum(here) - 1
-            chosen = part[here]
-            before = np.cumsum(np.where(np.arange(len(count)) % 3 == side, count, 0)) - count
-            place[here] = first[chosen] + rank[here] - before[chosen]
+        at = np.repeat(pivot, sizes)
+        less, same = key < at, key == at
+        # inclusive ranks among the less and the equal pointers of their partition
+        ranks, counts = [], []
+        for side in (less, same):
+            rank = np.cumsum(side, dtype=np.int32)
+            ends = rank[starts + sizes - 1]
+            begun = np.append(np.int32(0), ends[:-1])
+            counts.append(ends - begun)
+            ranks.append(rank - np.repeat(begun, sizes))
+        first = [starts, starts + counts[0], starts + counts[0] + counts[1]]
+        place = np.arange(len(pointers)) - ranks[0] - ranks[1] + np.repeat(counts[0] + counts[1], sizes)
+        place[less] = (np.repeat(first[0], sizes) + ranks[0] - 1)[less]
+        place[same] = (np.repeat(first[1], sizes) + ranks[1] - 1)[same]
         ordered = np.empty_like(pointers)
         ordered[place] = pointers
+        count = np.stack([*counts, sizes - counts[0] - counts[1]], axis=1).ravel()  # less, equal, greater
+        first = np.stack(first, axis=1).ravel()
         full = np.flatnonzero(count)
         total = np.add.reduceat(times[ordered], first[full])
-        equal = full % 3 == 1
-        level = depth[full // 3]
+        equal, level = full % 3 == 1, depth[full // 3]
         for d in np.unique(level[equal]):
             good = np.flatnonzero(equal & (level == d) & (total >= least[d]))
             heads = ordered[first[full[good]]]
             alive = table[d, heads] > 0
             if alive.any():
                 yield int(d), heads[alive], total[good][alive]
-        level = level + equal
         ended = equal & (pivot[full // 3] == 0)
+        level = level + equal
         go = ~ended & (level < depths) & (total >= enough[np.minimum(level, depths - 1)])
         sizes = count[full]
         pointers = ordered[np.repeat(go, sizes)]
@@ -150,88 +159,94 @@ def equalised(codes: np.ndarray, starts: np.ndarray, langs: np.ndarray) -> tuple
     padded = np.append(codes, np.zeros(WORDS, codes.dtype))
     rows = [langs, padded[starts]]
     for i in range(1, WORDS):
-        rows.append(np.where(rows[-1] > 0, padded[starts + i], 0))
-    order = np.lexsort(rows[::-1])
-    table = np.stack(rows)[:, order]
+        rows.append(np.where(rows[-1] > 0, padded[starts + i], 0).astype(np.int32))
+    pairs = [a.astype(np.int64) << 32 | b for a, b in ((rows[1], rows[2]), (rows[3], rows[4]))]
+    order = np.lexsort([pairs[1], pairs[0], langs])
+    del pairs
+    table = np.stack([r[order] for r in rows])
     new = np.append(True, (table[:, 1:] != table[:, :-1]).any(axis=0)) if len(order) else np.zeros(0, bool)
     at = np.flatnonzero(new)
     return table[:, at], np.diff(np.append(at, len(order)))
 
 
-def _dealt(suffixes: np.ndarray, times: np.ndarray, names: list[bytes], langs: list[str], target: np.ndarray) -> Iterator[dict]:
+def _dealt(suffixes: np.ndarray, times: np.ndarray, names: list[bytes], langs: list[str], target: np.ndarray) -> Iterator:
     """One row per target: its suffixes, their number, and the number that share language and two leading words at most."""
     order = np.argsort(target, kind="stable")
     edges = np.flatnonzero(np.append(True, np.diff(target[order]) != 0))
     for a, b in zip(edges, np.append(edges[1:], len(order))):
         mine = suffixes[:, order[a:b]]
         new = np.flatnonzero(np.append(True, (mine[:3, 1:] != mine[:3, :-1]).any(axis=0)))
-        yield {"target": int(target[order[a]]), "n": int(b - a),
-               "hottest": int(np.diff(np.append(new, b - a)).max()),
-               "body": pack(names, langs, mine, times[order[a:b]])}
+        yield pa.RecordBatch.from_pylist([{
+            "target": int(target[order[a]]), "n": int(b - a), "hottest": int(np.diff(np.append(new, b - a)).max()),
+            "body": pack(names, langs, mine, times[order[a:b]])}], schema=SHIPPED)
+
+
+def split_words(text: bytes, step: int = STEP) -> Iterator[list[bytes]]:
+    """Words of a text, END between its pieces, in lists from about ``step`` bytes each."""
+    data, left = text.translate(MAPPED), b""
+    for at in range(0, len(data), step):
+        part = left + data[at:at + step]
+        words = part.replace(END, b" \xff ").split()
+        more = at + step < len(data)
+        left = words.pop() if more and words and part[-1:] not in (b" ", END) else b""
+        yield words
 
 
-def routed(docs: DataFrame, targets: int, at_once: int = AT_ONCE, size: int = SLICE) -> DataFrame:
+def routed(docs: DataFrame, targets: int, at_once: int = AT_ONCE, step: int = STEP) -> DataFrame:
     """Packed suffixes by target (from 0), and rows of target -1 with the occurrences ``n`` of a word of a language."""
-    def flush(numbers: _Numbers, spoken: _Numbers, codes: list, starts: list, langs: list) -> Iterator[dict]:
-        code = np.concatenate(codes)
-        at, lang = np.concatenate(starts), np.concatenate(langs)
-        names, tongues = list(numbers), list(spoken)
+    def flush(numbers: _Numbers, spoken: _Numbers, code: np.ndarray, lang: np.ndarray, stop: int) -> Iterator:
+        """What the pointers before ``stop`` give."""
+        at = np.flatnonzero(code[:stop])
+        if not len(at):
+            return
+        lang = lang[at]
+        names, tongues = list(numbers)[1:], list(spoken)
+        found, count = np.unique(lang.astype(np.int64) << 32 | code[at], return_counts=True)
+        yield pa.RecordBatch.from_pydict({
+            "target": np.full(len(found), -1), "n": count, "hottest": pa.nulls(len(found)), "body": pa.nulls(len(found)),
+            "lang": [tongues[x] for x in (found >> 32).tolist()],
+            "word": [names[x - 1].decode("utf-8", "replace") for x in (found & 0xFFFFFFFF).tolist()]}, schema=SHIPPED)
         suffixes, times = equalised(code, at, lang)
-        single = lang.astype(np.int64) * (len(names) + 1) + code[at]
-        found, count = np.unique(single, return_counts=True)
-        for f, n in zip(found.tolist(), count.tolist()):
-            yield {"target": -1, "n": n, "lang": tongues[f // (len(names) + 1)],
-                   "word": names[f % (len(names) + 1) - 1].decode("utf-8", "replace")}
         word, tongue = _hashes(names), _hashes([x.encode() for x in tongues])[1:]
         target = _mixed(tongue[suffixes[0]], word[suffixes[1]], word[suffixes[2]]) % np.uint64(targets)
         yield from _dealt(suffixes, times, names, tongues, target.astype(np.int64))
 
-    def rows(batches):
-        numbers, spoken = _Numbers(1), _Numbers(0)
-        codes, starts, langs, held = [], [], [], 0
+    def run(batches):
+        numbers, spoken, codes, langs = _Numbers(0), _Numbers(0), [], []
+        numbers[END], held = 0, 0
+
+        def gathered():
+            return np.concatenate(codes), np.repeat(np.array([x for x, _ in langs], np.int32), [n for _, n in langs])
+
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                tongue = spoken[lang]
-                for piece in text.translate(MAPPED).split(b"\n"):
-                    words = piece.split()
-                    for low in range(0, len(words), size):
-                        slice_ = words[low:low + size + WORDS - 1]
-                        mine = min(size, len(words) - low)
-                        codes.append(np.fromiter(map(numbers.__getitem__, slice_ + [b""]), np.int32, len(slice_) + 1))
-                        codes[-1][-1] = 0
-                        starts.append(np.arange(held, held + mine))
-                        langs.append(np.full(mine, tongue, np.int32))
-                        held += len(slice_) + 1
+            for low in range(0, batch.num_rows, 64):
+                some = batch.slice(low, 64)
+                for lang, text in zip(some.column("lang").to_pylist(), some.column("text").to_pylist()):
+                    for words in split_words(text, step):
+                        codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                        langs.append((spoken[lang], len(words)))
+                        held += len(words)
                         if held >= at_once:
-                            yield from flush(numbers, spoken, codes, starts, langs)
-                            numbers, spoken = _Numbers(1), _Numbers(0)
-                            tongue = spoken[lang]
-                            codes, starts, langs, held = [], [], [], 0
+                            # the last words may go on in the next list: they stay, and count then
+                            code, tongue = gathered()
+                            stop = max(0, len(code) - WORDS + 1)
+                            yield from flush(numbers, spoken, code, tongue, stop)
+                            stay, tongues, names = code[stop:].tolist(), tongue[stop:].tolist(), list(numbers)
+                            spoken_before, numbers, spoken = list(spoken), _Numbers(0), _Numbers(0)
+                            numbers[END] = 0
+                            codes = [np.array([numbers[names[x]] for x in stay], np.int32)]
+                            langs = [(spoken[spoken_before[x]], 1) for x in tongues]
+                            held = len(stay)
+                    codes.append(np.zeros(1, np.int32))
+                    langs.append((spoken[lang], 1))
+                    held += 1
         if held:
-            yield from flush(numbers, spoken, codes, starts, langs)
+            code, tongue = gathered()
+            yield from flush(numbers, spoken, code, tongue, len(code))
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
                         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return texts.mapInArrow(_batches(rows), ROUTED)
-
-
-def _batches(rows, size: int = 1 << 23):
-    """Arrow batches of about ``size`` bytes from dictionaries of ``ROUTED``."""
-    schema = pa.schema([("target", pa.int32()), ("n", pa.int64()), ("hottest", pa.int64()), ("body", pa.binary()),
-                        ("lang", pa.string()), ("word", pa.string())])
-
-    def run(batches):
-        held, weight = [], 0
-        for row in rows(batches):
-            held.append(row)
-            weight += 200 + len(row.get("body") or b"")
-            if weight >= size:
-                yield pa.RecordBatch.from_pylist(held, schema=schema)
-                held, weight = [], 0
-        if held:
-            yield pa.RecordBatch.from_pylist(held, schema=schema)
-
-    return run
+    return texts.mapInArrow(run, ROUTED)
 
 
 def dealt_again(packed: DataFrame, large: dict[int, tuple[int, int, int]]) -> DataFrame:
@@ -246,7 +261,7 @@ def dealt_again(packed: DataFrame, large: dict[int, tuple[int, int, int]]) -> Da
                                *(word[suffixes[1 + i]] for i in range(words)))
                 yield from _dealt(suffixes, times, names, langs, low + (mixed % np.uint64(parts)).astype(np.int64))
 
-    return packed.mapInArrow(_batches(rows), ROUTED)
+    return packed.mapInArrow(rows, ROUTED)
 
 
 def counted(packed: DataFrame, split_from: int, least: int = LEAST) -> DataFrame:

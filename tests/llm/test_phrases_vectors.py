@@ -66,9 +66,9 @@ def some_texts():
 
 @pytest.mark.parametrize("most", [2_000_000, 40])
 def test_phrases_match_counting_everything(spark, tmp_path, monkeypatch, most):
-    if most < 100:  # small bounds: several flushes and slices, targets dealt again by lead and by whole suffix
+    if most < 100:  # small bounds: several flushes and steps, targets dealt again by lead and by whole suffix
         made = phrases.routed
-        monkeypatch.setattr(phrases, "routed", lambda docs, targets: made(docs, targets, at_once=300, size=7))
+        monkeypatch.setattr(phrases, "routed", lambda docs, targets: made(docs, targets, at_once=300, step=37))
     texts = some_texts()
     assert mined(spark, tmp_path, texts, 4, 25, most=most) == plain_collocations(texts, 4, 25)
 
