@@ -3,17 +3,17 @@
 Texts are lower-cased (A to Z), cut into pieces at stops and line ends, and each word of a piece starts a suffix of up to
 four words.  Per language, a phrase occurs as often as suffixes start with it.
 
-A task equalises its suffixes first: equal ones become one with a count.  Then suffixes are routed by a hash of
-language and their two leading words, packed by target, and written.  A target's suffixes are sorted by multikey three-way
-quicksort to maximum depth: the pointers whose word at the present depth equals the pivot form the equal partition,
-whose summed counts are the number of times the phrase occurs, and which goes on one word deeper.  A partition (less, equal
-or greater) that sums to less than ``LEAST`` holds no candidate and is abandoned.  Partitions of all depths are
-split in one numpy pass a round.
+Words are counted first.  A filter of ``BITS`` bits, whatever the vocabulary, tells the words that are frequent enough (and
+a few more that share a bit): a suffix ends before any other word, as no candidate holds one.  A task equalises its suffixes:
+equal ones become one with a count.  Then suffixes are routed by a hash of language and their two leading words, packed by
+target, and written.  A target's suffixes are sorted by multikey three-way quicksort to maximum depth: the pointers whose word
+at the present depth equals the pivot form the equal partition, whose summed counts are the number of times the phrase
+occurs, and which goes on one word deeper.  A partition (less, equal or greater) that sums to less than ``LEAST`` holds
+no candidate and is abandoned.  Partitions of all depths are split in one numpy pass a round.
 
 A target of more than ``MOST`` suffixes is dealt again before it is sorted: by another hash of its two leading words, or,
 where one pair of words alone may pass that bound, by a hash of the whole suffix.  In the latter case shorter phrases are spread
-over several tasks, so those are not abandoned there and their counts are summed afterwards.  Words alone are counted by
-an aggregate of each task's counts.
+over several tasks, so those are not abandoned there and their counts are summed afterwards.
 
 Nulls, empty texts, ties: a NULL text is an empty one; a NULL ``lang`` is ``und``; a text without words adds nothing; repeated
 rows count again; equal scores go by the number of occurrences, then by the phrase's bytes; a piece of any length is
@@ -22,6 +22,7 @@ split in steps that carry over the last words.  Other columns are ignored.  An e
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,13 +39,14 @@ SCALE, COVERS = 2_000_000, 80
 #: Words a task equalises at a time, bytes of a text it splits at a time; wanted and greatest number of suffixes of a
 #: target; targets.
 AT_ONCE, STEP, WANTED, MOST, TARGETS = 1_500_000, 1 << 20, 750_000, 2_000_000, 1 << 15
+#: Bits of the filter of frequent words, bits of one of its rows, and different words a task counts at a time.
+BITS, ROW_BITS, COUNTED = 1 << 24, 1 << 15, 400_000
 #: A to Z in lower case, tabs as spaces, stops and line ends as a byte that UTF-8 does not use.
 END = b"\xff"
 MAPPED = bytes(b + 32 if 65 <= b <= 90 else END[0] if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
-ROUTED = "target int, n long, hottest long, body binary, lang string, word string"
-SHIPPED = pa.schema([("target", pa.int32()), ("n", pa.int64()), ("hottest", pa.int64()), ("body", pa.binary()),
-                     ("lang", pa.string()), ("word", pa.string())])
+ROUTED = "target int, n long, hottest long, body binary"
+SHIPPED = pa.schema([("target", pa.int32()), ("n", pa.int64()), ("hottest", pa.int64()), ("body", pa.binary())])
 
 
 def multikey(keys: list[np.ndarray], times: np.ndarray, least: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -113,6 +115,16 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([0, *map(xxhash.xxh64_intdigest, words)], np.uint64)  # 0: no word
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 in the least width that holds them, led by that width."""
+    width = next(w for w in (1, 2, 4, 8) if int(x.max()) < 1 << 8 * w - (w == 8))
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+
+
+def _wide(x: bytes) -> np.ndarray:
+    return np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64)
+
+
 def pack(names: list[bytes], langs: list[str], suffixes: np.ndarray, times: np.ndarray) -> bytes:
     """Suffixes (language and words by number, from 0 and 1) and their counts, with the words they use."""
     import zstandard
@@ -121,8 +133,8 @@ def pack(names: list[bytes], langs: list[str], suffixes: np.ndarray, times: np.n
     text = b" ".join(names[u - 1] for u in used.tolist() if u)
     low = 0 if len(used) and used[0] == 0 else 1
     spoken, lang = np.unique(suffixes[0], return_inverse=True)
-    parts = ["\n".join(langs[x].encode("utf-8").hex() for x in spoken).encode(), text, lang.astype("<i4").tobytes(),
-             (code.reshape(WORDS, -1) + low).astype("<i4").tobytes(), times.astype("<i8").tobytes()]
+    parts = ["\n".join(langs[x].encode("utf-8").hex() for x in spoken).encode(), text,
+             *(_narrow(x) for x in (lang, code.reshape(WORDS, -1) + low, times))]
     sizes = np.array([len(p) for p in parts], "<i8").tobytes()
     return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(parts))
 
@@ -136,21 +148,37 @@ def unpack(body: bytes) -> tuple[list[bytes], list[str], np.ndarray, np.ndarray]
     for size in np.frombuffer(data, "<i8", 5).tolist():
         parts.append(data[at:at + size])
         at += size
-    times = np.frombuffer(parts[4], "<i8")
-    suffixes = np.vstack([np.frombuffer(parts[2], "<i4"), np.frombuffer(parts[3], "<i4").reshape(WORDS, -1)])
+    lang, code, times = map(_wide, parts[2:])
+    suffixes = np.vstack([lang, code.reshape(WORDS, -1)]).astype(np.int32)
     langs = [bytes.fromhex(x).decode("utf-8") for x in parts[0].decode().split("\n")]
     return parts[1].split(b" ") if parts[1] else [], langs, suffixes, times
 
 
 class _Numbers(dict):
-    """Numbers from ``low`` up in order of first use."""
+    """Numbers from 0 up in order of first use."""
+
+    def __missing__(self, key):
+        value = self[key] = len(self)
+        return value
+
+
+class _Frequent(dict):
+    """Numbers from 1 up of the words whose bit is set, 0 for all others; ``names`` has the numbered words."""
+
+    def __init__(self, bits: bytes):
+        import xxhash
 
-    def __init__(self, low: int):
         super().__init__()
-        self.low = low
+        self.bits, self.names, self.digest = bits, [], xxhash.xxh64_intdigest
 
     def __missing__(self, key):
-        value = self[key] = len(self) + self.low
+        at = self.digest(key, 42) % (8 * len(self.bits))
+        if self.bits[at >> 3] >> (at & 7) & 1 and key != END:
+            self.names.append(key)
+            value = len(self.names)
+        else:
+            value = 0
+        self[key] = value
         return value
 
 
@@ -192,61 +220,98 @@ def split_words(text: bytes, step: int = STEP) -> Iterator[list[bytes]]:
         yield words
 
 
-def routed(docs: DataFrame, targets: int, at_once: int = AT_ONCE, step: int = STEP) -> DataFrame:
-    """Packed suffixes by target (from 0), and rows of target -1 with the occurrences ``n`` of a word of a language."""
-    def flush(numbers: _Numbers, spoken: _Numbers, code: np.ndarray, lang: np.ndarray, stop: int) -> Iterator:
+def _read(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
+                       F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
+
+def _texts(batches) -> Iterator[tuple[str, bytes]]:
+    """(lang, text), few texts at a time in memory."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 64):
+            some = batch.slice(low, 64)
+            yield from zip(some.column("lang").to_pylist(), some.column("text").to_pylist())
+
+
+def word_counts(docs: DataFrame, step: int = STEP, most: int = COUNTED) -> DataFrame:
+    """lang, phrase and n of each word of a language; the row without a phrase has the sum of all."""
+    def given(counts: dict[str, Counter]) -> Iterator:
+        for lang, found in counts.items():
+            found.pop(END, None)
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.array([lang] * (len(found) + 1), pa.string()),
+                "phrase": pa.array([None, *(w.decode("utf-8", "replace") for w in found)], pa.string()),
+                "n": pa.array([sum(found.values()), *found.values()], pa.int64())})
+
+    def run(batches):
+        counts: dict[str, Counter] = defaultdict(Counter)
+        for lang, text in _texts(batches):
+            for words in split_words(text, step):
+                counts[lang].update(words)
+            if sum(map(len, counts.values())) > most:
+                yield from given(counts)
+                counts.clear()
+        yield from given(counts)
+
+    return _read(docs).mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(
+        F.sum("n").alias("n"))
+
+
+def word_filter(words: DataFrame, bits: int = BITS) -> bytes:
+    """Bits of the hashes of all words of ``words``."""
+    at = F.pmod(F.xxhash64("phrase"), F.lit(bits)) + 1  # these functions count from 1; the sign of the hash does not matter
+    rows = words.groupBy(F.bitmap_bucket_number(at).alias("row")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()  # at most bits / ROW_BITS rows
+    out = bytearray(bits // 8)
+    for r in rows:
+        low = (r["row"] - 1) * ROW_BITS // 8
+        out[low:low + ROW_BITS // 8] = r["bits"]
+    return bytes(out[:bits // 8])
+
+
+def routed(docs: DataFrame, targets: int, bits: bytes, at_once: int = AT_ONCE, step: int = STEP) -> DataFrame:
+    """Packed suffixes by target (from 0)."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def flush(names: list[bytes], tongues: list[str], code: np.ndarray, lang: np.ndarray, stop: int) -> Iterator:
         """What the pointers before ``stop`` give."""
         at = np.flatnonzero(code[:stop])
         if not len(at):
             return
-        lang = lang[at]
-        names, tongues = list(numbers)[1:], list(spoken)
-        found, count = np.unique(lang.astype(np.int64) << 32 | code[at], return_counts=True)
-        yield pa.RecordBatch.from_pydict({
-            "target": np.full(len(found), -1), "n": count, "hottest": pa.nulls(len(found)), "body": pa.nulls(len(found)),
-            "lang": [tongues[x] for x in (found >> 32).tolist()],
-            "word": [names[x - 1].decode("utf-8", "replace") for x in (found & 0xFFFFFFFF).tolist()]}, schema=SHIPPED)
-        suffixes, times = equalised(code, at, lang)
+        suffixes, times = equalised(code, at, lang[at])
         word, tongue = _hashes(names), _hashes([x.encode() for x in tongues])[1:]
         target = _mixed(tongue[suffixes[0]], word[suffixes[1]], word[suffixes[2]]) % np.uint64(targets)
         yield from _dealt(suffixes, times, names, tongues, target.astype(np.int64))
 
     def run(batches):
-        numbers, spoken, codes, langs = _Numbers(0), _Numbers(0), [], []
-        numbers[END], held = 0, 0
+        numbers, spoken, codes, langs, held = _Frequent(sent.value), _Numbers(), [], [], 0
 
         def gathered():
             return np.concatenate(codes), np.repeat(np.array([x for x, _ in langs], np.int32), [n for _, n in langs])
 
-        for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                some = batch.slice(low, 64)
-                for lang, text in zip(some.column("lang").to_pylist(), some.column("text").to_pylist()):
-                    for words in split_words(text, step):
-                        codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                        langs.append((spoken[lang], len(words)))
-                        held += len(words)
-                        if held >= at_once:
-                            # the last words may go on in the next list: they stay, and count then
-                            code, tongue = gathered()
-                            stop = max(0, len(code) - WORDS + 1)
-                            yield from flush(numbers, spoken, code, tongue, stop)
-                            stay, tongues, names = code[stop:].tolist(), tongue[stop:].tolist(), list(numbers)
-                            spoken_before, numbers, spoken = list(spoken), _Numbers(0), _Numbers(0)
-                            numbers[END] = 0
-                            codes = [np.array([numbers[names[x]] for x in stay], np.int32)]
-                            langs = [(spoken[spoken_before[x]], 1) for x in tongues]
-                            held = len(stay)
-                    codes.append(np.zeros(1, np.int32))
-                    langs.append((spoken[lang], 1))
-                    held += 1
+        for lang, text in _texts(batches):
+            for words in split_words(text, step):
+                codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                langs.append((spoken[lang], len(words)))
+                held += len(words)
+                if held >= at_once:
+                    # the last words may go on in the next list: they stay, and count then
+                    code, tongue = gathered()
+                    stop, tongues = max(0, len(code) - WORDS + 1), list(spoken)
+                    yield from flush(numbers.names, tongues, code, tongue, stop)
+                    stay = [numbers.names[x - 1] if x else END for x in code[stop:].tolist()]
+                    numbers, spoken = _Frequent(sent.value), _Numbers()
+                    codes = [np.array([numbers[w] for w in stay], np.int32)]
+                    langs = [(spoken[tongues[x]], 1) for x in tongue[stop:].tolist()]
+                    held = len(stay)
+            codes.append(np.zeros(1, np.int32))
+            langs.append((spoken[lang], 1))
+            held += 1
         if held:
             code, tongue = gathered()
-            yield from flush(numbers, spoken, code, tongue, len(code))
+            yield from flush(numbers.names, list(spoken), code, tongue, len(code))
 
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return texts.mapInArrow(run, ROUTED)
+    return _read(docs).mapInArrow(run, ROUTED)
 
 
 def dealt_again(packed: DataFrame, large: dict[int, tuple[int, int, int]]) -> DataFrame:
@@ -270,12 +335,12 @@ def counted(packed: DataFrame, split_from: int, least: int = LEAST) -> DataFrame
     Targets from ``split_from`` on hold parts of the shorter phrases, whose counts are given however small.
     """
     def run(batches):
-        names, langs = _Numbers(1), _Numbers(0)
+        names, langs = _Numbers(), _Numbers()
         whole, parts = ([], []), ([], [])
         for batch in batches:
             for target, body in zip(batch.column("target").to_pylist(), batch.column("body").to_pylist()):
                 words, tongues, suffixes, times = unpack(body)
-                number = np.array([0, *map(names.__getitem__, words)], np.int32)
+                number = np.array([0, *(names[x] + 1 for x in words)], np.int32)
                 spoken = np.array([langs[x] + 1 for x in tongues], np.int32)
                 side = parts if target >= split_from else whole
                 side[0].append(np.vstack([spoken[suffixes[0]], number[suffixes[1:]]]))
@@ -307,24 +372,22 @@ def frequent(docs: DataFrame, folder: str, least: int = LEAST, wanted: int = WAN
     # a word takes six characters or more with its space in most texts; too many targets are harmless
     size = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     count = min(targets, max(least_targets, size // 6 // wanted))
-    table = kept(routed(docs, count), folder, "suffixes")
-    sums = table.where("target >= 0").groupBy("target").agg(F.sum("n"), F.sum("hottest")).where(
-        F.col("sum(n)") > most).collect()  # one row per target at most
+    words = kept(word_counts(docs).where((F.col("n") >= least) | F.col("phrase").isNull()), folder, "words")
+    totals, words = words.where("phrase IS NULL").select("lang", F.col("n").alias("total")), words.where("phrase IS NOT NULL")
+    packed = kept(routed(docs, count, word_filter(words)), folder, "suffixes")
+    sums = packed.groupBy("target").agg(F.sum("n"), F.sum("hottest")).where(F.col("sum(n)") > most).collect()  # a row per target
     large, low, split_from = {}, count, None
-    for words in (2, WORDS):  # those dealt by whole suffixes come last
+    for hashed in (2, WORDS):  # those dealt by whole suffixes come last
         split_from = low
         for target, n, hottest in sorted(map(tuple, sums)):
-            if (hottest > most) == (words == WORDS):
+            if (hottest > most) == (hashed == WORDS):
                 parts = -(-2 * n // most)
-                large[target] = (low, parts, words)
+                large[target] = (low, parts, hashed)
                 low += parts
-    packed = table.where("target >= 0")
     if large:
         again = kept(dealt_again(packed.where(F.col("target").isin(list(large))), large), folder, "dealt_again")
         packed = packed.where(~F.col("target").isin(list(large))).unionByName(again)
     phrases = counted(packed.select("target", "body").repartitionById(max(1, low), "target"), split_from, least)
-    words = table.where("target < 0").groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("n"))
-    totals = table.where("target < 0").groupBy("lang").agg(F.sum("n").alias("total"))
     both = words.select("lang", "phrase", F.lit(1).alias("size"), "n").unionByName(phrases)
     summed = both.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return kept(summed, folder, "frequent"), totals

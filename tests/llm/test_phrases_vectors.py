@@ -67,12 +67,27 @@ def some_texts():
 @pytest.mark.parametrize("most", [2_000_000, 40])
 def test_phrases_match_counting_everything(spark, tmp_path, monkeypatch, most):
     if most < 100:  # small bounds: several flushes and steps, targets dealt again by lead and by whole suffix
-        made = phrases.routed
-        monkeypatch.setattr(phrases, "routed", lambda docs, targets: made(docs, targets, at_once=300, step=37))
+        made, words = phrases.routed, phrases.word_counts
+        monkeypatch.setattr(phrases, "word_counts", lambda docs: words(docs, step=37, most=5))
+        monkeypatch.setattr(phrases, "routed", lambda docs, targets, bits: made(docs, targets, bits, at_once=300, step=37))
     texts = some_texts()
     assert mined(spark, tmp_path, texts, 4, 25, most=most) == plain_collocations(texts, 4, 25)
 
 
+def test_words_that_share_a_bit_cost_only_work(spark, tmp_path, monkeypatch):
+    made = phrases.word_filter
+    monkeypatch.setattr(phrases, "word_filter", lambda words: bytes([255] * len(made(words))))
+    assert mined(spark, tmp_path, some_texts(), 4, 25) == plain_collocations(some_texts(), 4, 25)
+
+
+def test_filter_has_the_bits_of_its_words(spark):
+    xxhash = pytest.importorskip("xxhash")
+    words = ["a", "é", "zz top"]
+    bits = phrases.word_filter(spark.createDataFrame([(w,) for w in words], "phrase string"))
+    at = {xxhash.xxh64_intdigest(w.encode(), 42) % phrases.BITS for w in words}
+    assert set(np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")).tolist()) == at
+
+
 def test_phrases_of_nothing(spark, tmp_path):
     assert mined(spark, tmp_path, [], 2, 10) == []
     assert mined(spark, tmp_path / "b", [(None, None), ("en", "once only")], 2, 10) == []
@@ -82,7 +97,7 @@ def test_hot_lead_is_dealt_by_whole_suffixes(spark, tmp_path, monkeypatch):
     seen = {}
     again = phrases.dealt_again
     monkeypatch.setattr(phrases, "dealt_again", lambda packed, large: seen.update(large) or again(packed, large))
-    texts = [("en", f"hot pair w{i} v{i % 7}") for i in range(300)]
+    texts = [("en", f"hot pair w{i % 20} v{i % 21}") for i in range(400)]
     assert mined(spark, tmp_path, texts, 5, 50, most=60) == plain_collocations(texts, 5, 50)
     assert any(words == phrases.WORDS for _, _, words in seen.values())
 
