@@ -6,14 +6,14 @@ four words.  Per language, a phrase occurs as often as suffixes start with it.
 Words are counted first.  A filter of ``BITS`` bits, whatever the vocabulary, tells the words that are frequent enough (and
 a few more that share a bit): a suffix ends before any other word, as no candidate holds one.  A task equalises its suffixes:
 equal ones become one with a count.  Then suffixes are routed by a hash of language and their two leading words, packed by
-target, and written.  A target's suffixes are sorted by multikey three-way quicksort to maximum depth: the pointers whose word
+target.  A target's suffixes are sorted by multikey three-way quicksort to maximum depth: the pointers whose word
 at the present depth equals the pivot form the equal partition, whose summed counts are the number of times the phrase
 occurs, and which goes on one word deeper.  A partition (less, equal or greater) that sums to less than ``LEAST`` holds
 no candidate and is abandoned.  Partitions of all depths are split in one numpy pass a round.
 
-A target of more than ``MOST`` suffixes is dealt again before it is sorted: by another hash of its two leading words, or,
-where one pair of words alone may pass that bound, by a hash of the whole suffix.  In the latter case shorter phrases are spread
-over several tasks, so those are not abandoned there and their counts are summed afterwards.
+A task that meets more than ``MOST`` suffixes hands them on, dealt again by another hash of their two leading words, and, if that is
+not enough because one pair of words leads so many, by a hash of the whole suffix.  In the last case shorter phrases are
+spread over several tasks, so those are not abandoned there and their counts are summed afterwards.
 
 Nulls, empty texts, ties: a NULL text is an empty one; a NULL ``lang`` is ``und``; a text without words adds nothing; repeated
 rows count again; equal scores go by the number of occurrences, then by the phrase's bytes; a piece of any length is
@@ -37,25 +37,26 @@ WORDS, LEAST, TOP, UNKNOWN = 4, 30, 2000, "und"
 #: Score of a phrase that never occurs in parts, and the percentage at which a longer phrase stands for a shorter.
 SCALE, COVERS = 2_000_000, 80
 #: Words a task equalises at a time, bytes of a text it splits at a time; wanted and greatest number of suffixes of a
-#: target; targets.
-AT_ONCE, STEP, WANTED, MOST, TARGETS = 1_500_000, 1 << 20, 750_000, 2_000_000, 1 << 15
+#: task; targets, and targets that those of a full task are dealt to.
+AT_ONCE, STEP, WANTED, MOST, TARGETS, PARTS = 1_200_000, 1 << 20, 1_500_000, 4_000_000, 1 << 15, 64
 #: Bits of the filter of frequent words, bits of one of its rows, and different words a task counts at a time.
 BITS, ROW_BITS, COUNTED = 1 << 24, 1 << 15, 400_000
 #: A to Z in lower case, tabs as spaces, stops and line ends as a byte that UTF-8 does not use.
 END = b"\xff"
 MAPPED = bytes(b + 32 if 65 <= b <= 90 else END[0] if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
-ROUTED = "target int, n long, hottest long, body binary"
-SHIPPED = pa.schema([("target", pa.int32()), ("n", pa.int64()), ("hottest", pa.int64()), ("body", pa.binary())])
+ROUTED = "target long, n long, body binary"
+COUNTS = "target long, body binary, lang string, phrase string, size int, n long"
+SHIPPED = pa.schema([("target", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
 
 
-def multikey(keys: list[np.ndarray], times: np.ndarray, least: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def multikey(keys: np.ndarray, times: np.ndarray, least: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(depth, a pointer of each, summed ``times``) of equal partitions that sum to ``least[depth]`` or more.
 
     ``keys[d][p]`` is the key of pointer p at depth d, 0 where its suffix has ended.  The partitions of a round are
     split together, each at the key of its middle pointer.
     """
-    table, depths = np.stack(keys).astype(np.int32), len(keys)
+    table, depths = np.ascontiguousarray(keys, np.int32), len(keys)
     flat, width = table.ravel(), table.shape[1]
     enough = np.array([min(least[d:]) for d in range(depths)])
     pointers = np.arange(width, dtype=np.int32)
@@ -197,16 +198,13 @@ def equalised(codes: np.ndarray, starts: np.ndarray, langs: np.ndarray) -> tuple
     return table[:, at], np.diff(np.append(at, len(order)))
 
 
-def _dealt(suffixes: np.ndarray, times: np.ndarray, names: list[bytes], langs: list[str], target: np.ndarray) -> Iterator:
-    """One row per target: its suffixes, their number, and the number that share language and two leading words at most."""
+def _dealt(suffixes: np.ndarray, times: np.ndarray, names: list[bytes], langs: list[str], target: np.ndarray) -> Iterator[dict]:
+    """One row per target: its suffixes and their number."""
     order = np.argsort(target, kind="stable")
     edges = np.flatnonzero(np.append(True, np.diff(target[order]) != 0))
     for a, b in zip(edges, np.append(edges[1:], len(order))):
-        mine = suffixes[:, order[a:b]]
-        new = np.flatnonzero(np.append(True, (mine[:3, 1:] != mine[:3, :-1]).any(axis=0)))
-        yield pa.RecordBatch.from_pylist([{
-            "target": int(target[order[a]]), "n": int(b - a), "hottest": int(np.diff(np.append(new, b - a)).max()),
-            "body": pack(names, langs, mine, times[order[a:b]])}], schema=SHIPPED)
+        yield {"target": int(target[order[a]]), "n": int(b - a),
+               "body": pack(names, langs, suffixes[:, order[a:b]], times[order[a:b]])}
 
 
 def split_words(text: bytes, step: int = STEP) -> Iterator[list[bytes]]:
@@ -281,7 +279,8 @@ def routed(docs: DataFrame, targets: int, bits: bytes, at_once: int = AT_ONCE, s
         suffixes, times = equalised(code, at, lang[at])
         word, tongue = _hashes(names), _hashes([x.encode() for x in tongues])[1:]
         target = _mixed(tongue[suffixes[0]], word[suffixes[1]], word[suffixes[2]]) % np.uint64(targets)
-        yield from _dealt(suffixes, times, names, tongues, target.astype(np.int64))
+        for row in _dealt(suffixes, times, names, tongues, target.astype(np.int64)):
+            yield pa.RecordBatch.from_pylist([row], schema=SHIPPED)
 
     def run(batches):
         numbers, spoken, codes, langs, held = _Frequent(sent.value), _Numbers(), [], [], 0
@@ -314,82 +313,84 @@ def routed(docs: DataFrame, targets: int, bits: bytes, at_once: int = AT_ONCE, s
     return _read(docs).mapInArrow(run, ROUTED)
 
 
-def dealt_again(packed: DataFrame, large: dict[int, tuple[int, int, int]]) -> DataFrame:
-    """Packed suffixes of the ``large`` targets by new ones: target -> (first new target, their number, words hashed)."""
-    def rows(batches):
-        for batch in batches:
-            for target, body in zip(batch.column("target").to_pylist(), batch.column("body").to_pylist()):
-                names, langs, suffixes, times = unpack(body)
-                low, parts, words = large[target]
-                word, tongue = _hashes(names), _hashes([x.encode() for x in langs])[1:]
-                mixed = _mixed(np.full(len(times), 1, np.uint64), tongue[suffixes[0]],
-                               *(word[suffixes[1 + i]] for i in range(words)))
-                yield from _dealt(suffixes, times, names, langs, low + (mixed % np.uint64(parts)).astype(np.int64))
-
-    return packed.mapInArrow(rows, ROUTED)
+def _dealt_again(target: int, body: bytes, words: int, parts: int) -> Iterator[dict]:
+    """Packed suffixes by ``parts`` new targets, from a hash of language and ``words`` leading words."""
+    names, langs, suffixes, times = unpack(body)
+    word, tongue = _hashes(names), _hashes([x.encode() for x in langs])[1:]
+    mixed = _mixed(np.full(len(times), 1, np.uint64), tongue[suffixes[0]], *(word[suffixes[1 + i]] for i in range(words)))
+    yield from _dealt(suffixes, times, names, langs, target * parts + (mixed % np.uint64(parts)).astype(np.int64))
 
 
-def counted(packed: DataFrame, split_from: int, least: int = LEAST) -> DataFrame:
-    """lang, phrase, size and n of the phrases of two words or more in each partition of packed suffixes.
+def counted(packed: DataFrame, least: int, most: int, again: int | None, parts: int = PARTS) -> DataFrame:
+    """Rows with lang, phrase, size and n of the phrases of two words or more in each partition of packed suffixes.
 
-    Targets from ``split_from`` on hold parts of the shorter phrases, whose counts are given however small.
+    A partition of more than ``most`` gives rows with target, n and body instead: its suffixes, dealt by a hash of ``again``
+    words.  Without ``again`` the partitions hold parts of the shorter phrases, whose counts are given however small.
     """
+    never = np.iinfo(np.int64).max
+    limits = [never, never, least, least, least] if again else [never, never, 1, 1, least]
+    schema = pa.schema([("target", pa.int64()), ("body", pa.binary()), ("lang", pa.string()), ("phrase", pa.string()),
+                        ("size", pa.int32()), ("n", pa.int64())])
+
+    def phrases(bodies: list[bytes]) -> Iterator:
+        names, langs, tables, times = _Numbers(), _Numbers(), [], []
+        for body in bodies:
+            words, tongues, suffixes, n = unpack(body)
+            number = np.array([0, *(names[x] + 1 for x in words)], np.int32)
+            spoken = np.array([langs[x] + 1 for x in tongues], np.int32)
+            tables.append(np.vstack([spoken[suffixes[0]], number[suffixes[1:]]]))
+            times.append(n)
+        if not tables:
+            return
+        table, words, tongues = np.concatenate(tables, axis=1), list(names), list(langs)
+        del tables, names
+        for depth, heads, total in multikey(table, np.concatenate(times), limits):
+            for low in range(0, len(heads), 50_000):
+                chosen = table[:, heads[low:low + 50_000]]
+                size = chosen.shape[1]
+                yield pa.RecordBatch.from_pydict({
+                    "target": pa.nulls(size, pa.int64()), "body": pa.nulls(size, pa.binary()),
+                    "lang": [tongues[x - 1] for x in chosen[0].tolist()],
+                    "phrase": [b" ".join(words[i - 1] for i in p).decode("utf-8", "replace")
+                               for p in chosen[1:depth + 1].T.tolist()],
+                    "size": np.full(size, depth, np.int32), "n": total[low:low + 50_000]}, schema=schema)
+
     def run(batches):
-        names, langs = _Numbers(), _Numbers()
-        whole, parts = ([], []), ([], [])
+        held, size = [], 0  # packed, so that they are small
         for batch in batches:
-            for target, body in zip(batch.column("target").to_pylist(), batch.column("body").to_pylist()):
-                words, tongues, suffixes, times = unpack(body)
-                number = np.array([0, *(names[x] + 1 for x in words)], np.int32)
-                spoken = np.array([langs[x] + 1 for x in tongues], np.int32)
-                side = parts if target >= split_from else whole
-                side[0].append(np.vstack([spoken[suffixes[0]], number[suffixes[1:]]]))
-                side[1].append(times)
-        words, tongues = list(names), list(langs)
-        never = np.iinfo(np.int64).max
-        for (tables, times), limits in ((whole, [never, never, least, least, least]), (parts, [never, never, 1, 1, least])):
-            if not tables:
-                continue
-            table = np.concatenate(tables, axis=1)
-            for depth, heads, total in multikey(list(table), np.concatenate(times), limits):
-                for low in range(0, len(heads), 50_000):
-                    chosen = table[:, heads[low:low + 50_000]]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([tongues[x - 1] for x in chosen[0].tolist()], pa.string()),
-                        pa.array([b" ".join(words[i - 1] for i in p).decode("utf-8", "replace")
-                                  for p in chosen[1:depth + 1].T.tolist()], pa.string()),
-                        pa.array(np.full(chosen.shape[1], depth), pa.int32()),
-                        pa.array(total[low:low + 50_000], pa.int64())], ["lang", "phrase", "size", "n"])
-
-    return packed.mapInArrow(run, "lang string, phrase string, size int, n long")
+            for row in batch.to_pylist():
+                held.append(row)
+                size += row["n"]
+                while again and size > most and held:
+                    row = held.pop()
+                    for new in _dealt_again(row["target"], row["body"], again, parts):
+                        yield pa.RecordBatch.from_pylist([new], schema=schema)
+        if not again or size <= most:
+            yield from phrases([row["body"] for row in held])
+
+    return packed.mapInArrow(run, COUNTS)
 
 
 def frequent(docs: DataFrame, folder: str, least: int = LEAST, wanted: int = WANTED, most: int = MOST,
              targets: int = TARGETS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, n) of all phrases of one to four words that occur ``least`` times, and (lang, total) words."""
-    spark = docs.sparkSession
-    least_targets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least_targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a word takes six characters or more with its space in most texts; too many targets are harmless
     size = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     count = min(targets, max(least_targets, size // 6 // wanted))
     words = kept(word_counts(docs).where((F.col("n") >= least) | F.col("phrase").isNull()), folder, "words")
     totals, words = words.where("phrase IS NULL").select("lang", F.col("n").alias("total")), words.where("phrase IS NOT NULL")
-    packed = kept(routed(docs, count, word_filter(words)), folder, "suffixes")
-    sums = packed.groupBy("target").agg(F.sum("n"), F.sum("hottest")).where(F.col("sum(n)") > most).collect()  # a row per target
-    large, low, split_from = {}, count, None
-    for hashed in (2, WORDS):  # those dealt by whole suffixes come last
-        split_from = low
-        for target, n, hottest in sorted(map(tuple, sums)):
-            if (hottest > most) == (hashed == WORDS):
-                parts = -(-2 * n // most)
-                large[target] = (low, parts, hashed)
-                low += parts
-    if large:
-        again = kept(dealt_again(packed.where(F.col("target").isin(list(large))), large), folder, "dealt_again")
-        packed = packed.where(~F.col("target").isin(list(large))).unionByName(again)
-    phrases = counted(packed.select("target", "body").repartitionById(max(1, low), "target"), split_from, least)
-    both = words.select("lang", "phrase", F.lit(1).alias("size"), "n").unionByName(phrases)
-    summed = both.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    packed = routed(docs, count, word_filter(words)).repartitionById(count, F.col("target").cast("int"))
+    all_counts = words.select("lang", "phrase", F.lit(1).alias("size"), "n")
+    for turn, again in enumerate((2, WORDS, None)):
+        rows = kept(counted(packed, least, most, again), folder, f"counts_{turn}")
+        all_counts = all_counts.unionByName(rows.where("body IS NULL").select("lang", "phrase", "size", "n"))
+        left = rows.where("body IS NOT NULL").select("target", "n", "body")
+        number = left.agg(F.sum("n")).first()[0]
+        if not number:
+            break
+        packed = left.repartition(max(least_targets, number // wanted), "target")
+    summed = all_counts.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return kept(summed, folder, "frequent"), totals
 
 
