@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from freightloom.llm import bpe, decontaminate, quality
 from freightloom.llm.common import kept, numbered, table, workspace
 from freightloom.llm.exact_dedup import exact_dedup
-from freightloom.llm.near_copies import near_copies
 from freightloom.llm.queries import tokenizer
+from freightloom.llm.simhash import simhash_dedup
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +26,10 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of texts linked by five-word shingle similarity of 0.8."""
+    """One document, that of the smallest id, of each group of linked fingerprints (three-word shingles, three bits)."""
     folder = workspace(spark)
     rows, row = numbered(docs, folder)
-    gone = near_copies(rows, folder, row).where("NOT kept").select(F.col("row").alias(row))
+    gone = simhash_dedup(rows, folder, row).where("NOT kept").select(F.col("row").alias(row))
     return rows.join(gone, row, "left_anti").drop(row)
 
 
