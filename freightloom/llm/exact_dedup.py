@@ -48,16 +48,22 @@ def exact_dedup(docs: DataFrame, folder: str, identify=F.xxhash64, row: str | No
     """row, doc_id, keep_id, group_size, kept, text_sha256 and the number of chunks, one row per input row."""
     slim = kept(recipes(docs, identify, row), folder, "recipes")
     forms = slim.select(F.explode("parts").alias("p")).select("p.id", "p.digest").distinct()
-    unsafe = forms.groupBy("id").count().where("count > 1").select("id")
-    listed = slim.select("row", "doc_id", "text_sha256", F.col("parts.id").alias("recipe"))
-    doubtful = (listed.select("recipe", F.explode("recipe").alias("id")).join(unsafe, "id", "left_semi")
-                .select("recipe").distinct().withColumn("doubtful", F.lit(True)))
-    keyed = listed.join(doubtful, "recipe", "left").select(
-        "row", "doc_id", "text_sha256", "recipe",
-        F.when(F.col("doubtful"), F.col("text_sha256")).otherwise("").alias("tie"))
+    unsafe = kept(forms.groupBy("id").count().where("count > 1").select("id"), folder, "unsafe")
+    keyed = slim.select("row", "doc_id", "text_sha256", F.col("parts.id").alias("recipe"), F.lit("").alias("tie"))
+    if not unsafe.isEmpty():
+        doubtful = slim.select("row", F.explode("parts.id").alias("id")).join(unsafe, "id", "left_semi").select(
+            "row").distinct().withColumn("doubtful", F.lit(True))
+        keyed = keyed.join(doubtful, "row", "left").withColumn(
+            "tie", F.when(F.col("doubtful"), F.col("text_sha256")).otherwise("")).drop("doubtful")
     keyed = keyed.withColumn("place", place())
-    groups = keyed.groupBy("recipe", "tie").agg(
-        F.min("doc_id").alias("keep_id"), F.min("place").alias("first"), F.count(F.lit(1)).alias("group_size"))
-    return keyed.join(groups, ["recipe", "tie"]).select(
-        "row", "doc_id", "keep_id", "group_size", (F.col("place") == F.col("first")).alias("kept"), "text_sha256",
+    # Written, so that both sides of the last join are plain shuffles, which adaptive execution splits at a hot recipe.
+    groups = kept(keyed.groupBy("recipe", "tie").agg(
+        F.min("doc_id").alias("keep_id"), F.min("place").alias("first"), F.count(F.lit(1)).alias("group_size")).where(
+        "group_size > 1"), folder, "groups")
+    met = keyed.join(groups, ["recipe", "tie"], "left")
+    alone = F.col("group_size").isNull()
+    return met.select(
+        "row", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("place") == F.col("first"))).alias("kept"), "text_sha256",
         F.size("recipe").cast("long").alias("n_chunks"))
