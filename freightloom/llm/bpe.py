@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from freightloom.llm.common import map_rows
 from freightloom.llm.exact_dedup import chunks
 
-#: Pieces and bytes of chunks one worker remembers, whatever the input's size.
-MEMO, REUSE_BYTES = 1_000_000, 64 << 20
+#: Pieces one worker remembers while it writes shards, and pieces and bytes of chunks while it codes by chunks, whatever the
+#: input's size.
+MEMO, CODING_MEMO, REUSE_BYTES = 1_000_000, 200_000, 16 << 20
 #: Bytes the rolling hash sees, and chunk lengths in bytes: about one cut in 2,048 positions.
 WINDOW, SHORTEST, LONGEST, MASK = 64, 256, 8192, 2047
 #: Whole pieces kept on each side of a chunk for repairs; pieces encoded and bytes hashed at a time.
@@ -81,11 +82,16 @@ class Encoder:
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
-        """The worker's encoder of a file; it outlives a task, so later tasks find its memo."""
+        """The worker's encoder of a file; it outlives a task."""
         if path not in _ENCODERS:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
+    def forget(self, most: int) -> None:
+        """Empty the memo, which holds ``most`` pieces from now on, and the chunks."""
+        self.memo, self.held = Memo(self._piece, most), 0
+        self.chunks.clear()
+
     def _splits_simply(self) -> bool:
         """Whether the tokenizer lower-cases, parts letters from stops and shows bytes as the common alphabet does."""
         probe = "Abc,éß$?\u00c0.|>"
@@ -226,10 +232,12 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and ``ids`` (little-endian unsigned integers, 2 bytes wide for vocabularies to 65,536, else 4)."""
     def rows(batches):
         coder = Encoder.of(path)
+        coder.forget(CODING_MEMO)
         for b in batches:
             for part in batched(zip(b["doc_id"], b["text"]), 256):
                 ids = [coder.encode_by_chunks(t) for _, t in part]
                 yield {"doc_id": [i for i, _ in part], "n_tokens": [len(x) // coder.width for x in ids], "ids": ids}
+        coder.forget(MEMO)  # the worker goes on to other tasks and stages
 
     return map_rows(near_each_other(docs.select(F.col("doc_id").cast("long"), "text")), rows,
                     "doc_id long, n_tokens long, ids binary")
