@@ -106,7 +106,8 @@ def simhash_dedup(docs: DataFrame, folder: str, row: str | None = None) -> DataF
     rooted = distinct.join(stars, distinct.fp == stars.u, "left").select(
         "fp", "least", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("head"))
-    classes = rooted.join(named, "root").select("fp", "component_id", "head")
+    # written, so that both sides of the last join are plain shuffles, which adaptive execution splits at a hot fingerprint
+    classes = kept(rooted.join(named, "root").select("fp", "component_id", "head"), folder, "classes")
     return prints.join(classes, "fp").select(
         "row", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         (F.col("place") == F.col("head")).alias("kept"))

@@ -442,3 +442,20 @@ def test_pipeline_stages(spark, docs, none, texts, tmp_path):
     assert stages["bpe"](spark, frame, base).count() == len(after["decontamination"])
     for name in stages:
         assert stages[name](spark, none, base).count() == 0
+
+
+def test_near_stage_keeps_one_of_each_group(spark, tmp_path):
+    """Groups are those of a plain fingerprint comparison; of each the smallest id stays, the rest of the table is left alone."""
+    rng = random.Random(17)
+    base = [sentence(rng, 400) for _ in range(6)]
+    rows = [(100 * i + j, b + (f" end{j}" if j else "")) for i, b in enumerate(base) for j in range(4)] + [(900, None), (901, "")]
+    prints = {i: plain_print(t) for i, t in rows}
+    root = {i: i for i, _ in rows}
+    for i, _ in rows:
+        for j, _ in rows:
+            if bin(prints[i] ^ prints[j]).count("1") <= 3 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept_ids = [r["doc_id"] for r in corpus_pipeline.without_near_copies(spark, frame, "").select("doc_id").collect()]
+    assert sorted(kept_ids) == sorted(set(root.values())) and len(kept_ids) < len(rows)
