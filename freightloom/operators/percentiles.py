@@ -82,3 +82,32 @@ def percentiles(
 
     total = [F.col("_total").alias(count)] if count else []
     return picked.select(*keys, *total, *[between(name) for name in points])
+
+
+#: Size parameter of a sketch, and the share of ranks by which a percentile of a sketch of that size may miss its own.
+SKETCH, RANK_ERROR = 200, 0.03
+
+
+def value_sketches(df: DataFrame, keys: Sequence[str], value: str, size: int = SKETCH) -> DataFrame:
+    """``_sketch`` (KLL) of the values of each group, and their number ``_n``; NULLs are left out.
+
+    A sketch is a few kilobytes however many values it has seen, map tasks make their own before the shuffle, and sketches merge: keep
+    them per day and combine any period with ``sketched_percentiles``.
+    """
+    values = df.filter(F.col(value).isNotNull())
+    return values.groupBy(*keys).agg(
+        F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(size)).alias("_sketch"), F.count(F.lit(1)).alias("_n"))
+
+
+def sketched_percentiles(
+    sketches: DataFrame, keys: Sequence[str], points: Mapping[str, float], count: str | None = None
+) -> DataFrame:
+    """Approximate percentiles per group of ``keys`` from ``value_sketches`` of a finer or equal grouping.
+
+    A result is a value whose rank is within ``RANK_ERROR`` of the asked one (with the default size and the confidence of
+    99 % and more that its authors state); groups of up to ``SKETCH`` values are not approximated.
+    """
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("_sketch").alias("_sketch"), F.sum("_n").alias("_n"))
+    total = [F.col("_n").alias(count)] if count else []
+    return merged.select(*keys, *total, *[
+        F.kll_sketch_get_quantile_double("_sketch", F.lit(fraction)).alias(name) for name, fraction in points.items()])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from freightloom.functions.casting import stable_round
 from freightloom.functions.flags import usable
-from freightloom.operators.lookup import bounded, node_lookup
+from freightloom.operators.lookup import attach, bounded, node_lookup
 from freightloom.plans.lane_daily import LANE
 from freightloom.plans.shipments import container_type
 
@@ -33,9 +33,9 @@ def container_counts(wms: DataFrame, tms: DataFrame) -> DataFrame:
 def container_compliance(wms: DataFrame, tms: DataFrame, network: DataFrame, procurement: DataFrame) -> DataFrame:
     counts = node_lookup(container_counts(wms, tms), bounded(usable(network)), "destination_node_id",
                          {"node_capability": "node_capability"})
-    # prices of one item: one row by the item's grain, several would repeat the lane-day as a join does
-    prices = usable(procurement).filter(F.col("item") == BOX_ITEM).agg(F.collect_list("cost_per_unit_eur").alias("p"))
-    priced = counts.withColumn("_prices", prices.scalar()).select("*", F.explode_outer("_prices").alias("_price"))
+    # the item is every row's, so only a broadcast or a split of the counts keeps this join from one task
+    prices = usable(procurement).filter(F.col("item") == BOX_ITEM).select("item", "cost_per_unit_eur")
+    priced = attach(counts.withColumn("_item", F.lit(BOX_ITEM)), bounded(prices), {"_item": "item"}, {"cost_per_unit_eur": "_price"})
     mtl, box, capability = (F.col(c) for c in ("mtl_container_count", "box_container_count", "node_capability"))
     total = mtl + box
     return priced.withColumns({

@@ -9,7 +9,7 @@ from freightloom.functions.geo import haversine_km
 from freightloom.operators.distances import lane_distances, nearest_nodes
 from freightloom.operators.keep_first import keep_first, qualify_first
 from freightloom.operators.lookup import bounded, member_flag
-from freightloom.operators.percentiles import percentiles, value_cuts
+from freightloom.operators.percentiles import RANK_ERROR, percentiles, sketched_percentiles, value_cuts, value_sketches
 from freightloom.sources.spine import date_spine, spread_over_days
 
 
@@ -154,3 +154,58 @@ def test_percentiles_gather_nothing_in_one_task(spark):
     assert cuts.pop("hot") in range(1, 12) and all(n < 12 for n in cuts.values())
     values = sorted(r.v for r in df.where("k = 'hot'").collect())
     assert np.isclose(got.where("k = 'hot'").first().m, np.percentile(values, 50))
+
+
+def test_nearest_by_cells_against_brute_force(spark, monkeypatch):
+    """Clusters, copies of one place, both poles, the date line and lone sources."""
+    rng = np.random.default_rng(8)
+    places = [(float(a), float(b)) for a, b in zip(rng.normal(48, 1.5, 150), rng.normal(2, 2, 150))]
+    places += [(10.0, 20.0)] * 12 + [(89.9, x) for x in (0.0, 90.0, -180.0)] + [(-89.5, 45.0), (-90.0, 0.0), (90.0, 10.0)]
+    places += [(float(a), float(b)) for a, b in zip(rng.uniform(-5, 5, 30), [*rng.uniform(178, 180, 15), *rng.uniform(-180, -178, 15)])]
+    places += [(float(a), float(b)) for a, b in zip(rng.uniform(-80, 80, 40), rng.uniform(-180, 180, 40))]
+    rng.shuffle(places)
+    nodes = [(f"N{i:03d}", ["FR", "DE", "RARE" if i < 20 else "FR", None][i % 4], *p) for i, p in enumerate(places)]
+    schema = "node_id string, country string, latitude double, longitude double"
+    asked = nodes[:60] + [("S1", "FR", 0.0, 180.0), ("S2", "DE", 0.0, -180.0), ("S3", "XX", 90.0, 77.0), ("S4", "FR", None, 1.0)]
+    sources, candidates = spark.createDataFrame(asked, schema), spark.createDataFrame(nodes, schema)
+    pairs = sources.filter("latitude IS NOT NULL").alias("a").crossJoin(candidates.alias("b")).select(
+        F.col("a.node_id").alias("s"), F.col("b.node_id").alias("c"), F.expr("NOT a.country <=> b.country").alias("foreign"),
+        haversine_km(*[F.col(c) for c in ("a.latitude", "a.longitude", "b.latitude", "b.longitude")]).alias("km")).collect()
+    for prefer in (False, True):
+        got = nearest_nodes(sources, candidates, 4, same_country_first=prefer, block=8).collect()
+        want = {}
+        for p in sorted(pairs, key=lambda p: (p.s, p.foreign and prefer, p.km, p.c)):
+            want.setdefault(p.s, []).append((p.km, p.c))
+        mine = {}
+        for r in sorted(got, key=lambda r: r["rank"]):
+            mine.setdefault(r.source_id, []).append((r.distance_km, r.node_id))
+        assert mine == {s: found[:4] for s, found in want.items()}
+    everyone = nearest_nodes(sources, candidates, None, block=64)
+    assert everyone.count() == len(pairs) and everyone.filter("rank = 1 AND node_id <> source_id").count() > 0
+
+
+def test_cells_bound_the_pairs(spark):
+    rng = np.random.default_rng(9)
+    schema = "node_id string, country string, latitude double, longitude double"
+    nodes = [(f"N{i:04d}", "FR", float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(-60, 60, 3000), rng.uniform(-180, 180, 3000)))]
+    frame = spark.createDataFrame(nodes, schema)
+    from freightloom.operators import distances
+    asked = distances._sources(frame).withColumn("_needed", F.lit(0).cast("long"))
+    assert distances.cell_pairs(asked, frame, 7, False).count() < 3000 * 20  # nine cells of 2.8 degrees, not 3000 candidates
+
+
+def test_sketches_merge_and_keep_their_rank_error(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"L{i % 3}", int(d), float(v)) for i, (d, v) in enumerate(zip(rng.integers(0, 40, 30000), rng.gamma(2, 3, 30000)))]
+    rows += [("small", d, float(d)) for d in range(11)] + [("L0", 1, None)]
+    df = spark.createDataFrame(rows, "lane string, day int, hours double")
+    daily = value_sketches(df, ["lane", "day"], "hours")
+    points = {"p05": .05, "p50": .5, "p95": .95}
+    for r in sketched_percentiles(daily, ["lane"], points, "runs").collect():
+        values = np.sort([v for lane, _, v in rows if lane == r.lane and v is not None])
+        assert r.runs == len(values)
+        for name, p in points.items():
+            low, high = np.searchsorted(values, r[name], "left") / len(values), np.searchsorted(values, r[name], "right") / len(values)
+            assert low - RANK_ERROR <= p <= high + RANK_ERROR
+    few = sketched_percentiles(daily.filter("lane = 'small'"), ["lane"], points).first()
+    assert few.p50 == 5.0 and few.p95 == 10.0

@@ -106,7 +106,7 @@ def test_append_and_full_load_have_the_same_first_rows(spark, tmp_path):
     firsts = [
         {r.shipment_id: r.container_id for r in keep_first(df.select(*FEEDS["wms_shipment_details"].columns, "_src_file", "_ord"),
                                                            ["shipment_id", "truck_id"]).collect()}
-        for df in (spark.read.parquet(out), spark.read.parquet(str(tmp_path / "full/wms_shipment_details")))]
+        for df in (spark.read.parquet(out), read_table(spark, str(tmp_path), "full", "wms_shipment_details"))]
     assert firsts[0] == firsts[1] == {"SHP_1": "M_9", "SHP_2": "M_5"}
 
 
