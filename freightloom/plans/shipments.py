@@ -3,7 +3,7 @@
 This is the largest table by far, so the shape of its plan is what matters:
 
 * full rows move twice: once to collapse copies of (shipment, truck), once to meet their truck run;
-* the per-truck leg count and the search for ids spelled in several ways read two columns only;
+* the per-truck leg count and the search for ids spelled in several ways share one aggregate of two columns;
 * no step needs all legs of one truck, or all copies of one leg, in a single task.
 """
 
@@ -37,31 +37,34 @@ def _key_text(key: str):
     return F.when(F.col(key) != "", trim_all(F.expr(f"substring({key}, 2)")))
 
 
-def raw_keys(bronze: DataFrame) -> DataFrame:
-    """Null-safe raw ids; reads two columns."""
-    return bronze.select(*[null_safe_key(F.col(c)).alias(k) for k, c in zip(KEYS, ("shipment_id", "truck_id"), strict=True)])
+def id_pairs(bronze: DataFrame) -> DataFrame:
+    """Null-safe raw ids with their number of rows ``_n``, and the trimmed ids; reads two columns.
+
+    What is asked of it below always uses ``_n``, or the optimizer would drop it in one place and not in another, and the
+    legs would be read and shuffled once for each instead of once for all.
+    """
+    pairs = bronze.groupBy(*[
+        null_safe_key(F.col(c)).alias(k) for k, c in zip(KEYS, ("shipment_id", "truck_id"), strict=True)
+    ]).agg(F.count(F.lit(1)).alias("_n"))
+    return pairs.withColumns({t: null_safe_key(_key_text(k)) for t, k in zip(("_s", "_t"), KEYS, strict=True)})
 
 
-def legs_per_truck(bronze: DataFrame) -> DataFrame:
-    """Legs with a shipment id per truck (as a null-safe key) after deduplication."""
-    legs = raw_keys(bronze).distinct().select(
-        _key_text(KEYS[0]).alias("_shipment"), null_safe_key(_key_text(KEYS[1])).alias("_truck"))
-    return legs.groupBy("_truck").agg(F.count("_shipment").alias("_legs"))
+def legs_per_truck(pairs: DataFrame) -> DataFrame:
+    """Legs with a shipment id per truck (as a null-safe key) after deduplication, from ``id_pairs``."""
+    return pairs.groupBy(F.col("_t").alias("_truck")).agg(
+        F.count_if((F.col("_s") != "") & (F.col("_n") > 0)).alias("_legs"))
 
 
-def spelled_apart(bronze: DataFrame) -> DataFrame:
-    """Raw keys that may share their trimmed key with another spelling.
+def spelled_apart(pairs: DataFrame) -> DataFrame:
+    """Raw keys that may share their trimmed key with another spelling, from ``id_pairs``.
 
     A trimmed key counts if it has several rows and at least one of them carries white space.  That
     includes one spelling with several rows, which is a repetition too.
     """
-    pairs = raw_keys(bronze).select(
-        *KEYS, null_safe_key(_key_text(KEYS[0])).alias("_s"), null_safe_key(_key_text(KEYS[1])).alias("_t"))
     padded = (F.col("_s") != F.col(KEYS[0])) | (F.col("_t") != F.col(KEYS[1]))
-    several = pairs.groupBy("_s", "_t").agg(
-        F.count(F.lit(1)).alias("_n"), F.bool_or(padded).alias("_any")
-    ).filter((F.col("_n") > 1) & F.col("_any")).select("_s", "_t")
-    with_space = pairs.filter(padded).distinct().join(several, ["_s", "_t"]).select(*KEYS)
+    several = pairs.groupBy("_s", "_t").agg(F.sum("_n").alias("_rows"), F.bool_or(padded).alias("_any")).filter(
+        (F.col("_rows") > 1) & F.col("_any")).select("_s", "_t")
+    with_space = pairs.filter(F.when(padded, F.col("_n")) > 0).join(several, ["_s", "_t"]).select(*KEYS)
     clean = several.select(F.col("_s").alias(KEYS[0]), F.col("_t").alias(KEYS[1]))
     return with_space.unionByName(clean).withColumn("_apart", F.lit(True))
 
@@ -73,7 +76,8 @@ def silver_wms(bronze: DataFrame, tms: DataFrame, network: DataFrame) -> DataFra
     keyed = bronze.withColumns({k: null_safe_key(F.col(c)) for k, c in zip(KEYS, ids, strict=True)}).drop(*ids)
     first = keep_first(keyed, KEYS, order=[c for c in ordinal_columns(bronze) if c not in ids], copies=COPIES)
     # the aggregate above is already partitioned and sorted by the keys, this join moves no full rows
-    flagged_keys = first.join(spelled_apart(bronze), list(KEYS), "left")
+    pairs = id_pairs(bronze)
+    flagged_keys = first.join(spelled_apart(pairs), list(KEYS), "left")
     legs = flagged_keys.select(
         *[_key_text(k).alias(c) for k, c in zip(KEYS, ids, strict=True)],
         *[norm(F.col(c)).alias(c) for c in COLUMNS if c not in (*ids, "order_date")],
@@ -87,7 +91,7 @@ def silver_wms(bronze: DataFrame, tms: DataFrame, network: DataFrame) -> DataFra
         F.col("truck_id").alias("_run"), F.to_date("departure_datetime").alias("_departure"),
         F.col("origin_node_id").alias("_o"), F.col("destination_node_id").alias("_d"),
         F.col("package_count").alias("_packages"),
-    ).join(legs_per_truck(bronze), null_safe_key(F.col("_run")) == F.col("_truck"), "left").drop("_truck")
+    ).join(legs_per_truck(pairs), null_safe_key(F.col("_run")) == F.col("_truck"), "left").drop("_truck")
     joined = legs.join(runs, F.col("truck_id") == F.col("_run"), "left")
     joined = node_lookup(joined, bounded(network), "sort_code", {"node_id": "_sort", "node_type": "_sort_type"})
 
