@@ -191,8 +191,10 @@ SQL: dict[str, str] = {
       FROM run GROUP BY origin, destination
       UNION ALL
       SELECT CASE WHEN n_nationkey % 5 = 0 THEN NULL WHEN n_nationkey % 5 = 1 THEN 'ON_ZZ'
-                  WHEN n_nationkey % 5 = 2 THEN {node('DN', 'n_nationkey')} ELSE 'ON_AA' END,
-        CASE WHEN n_nationkey % 7 = 0 THEN NULL WHEN n_nationkey % 7 = 1 THEN 'DN_ZZ' ELSE 'ON_AB' END,
+                  WHEN n_nationkey % 5 = 2 THEN {node('DN', 'n_nationkey')}
+                  WHEN n_nationkey % 5 = 3 THEN 'XX_BB' ELSE 'ON_AA' END,
+        CASE WHEN n_nationkey % 7 = 0 THEN NULL WHEN n_nationkey % 7 = 1 THEN 'DN_ZZ'
+             WHEN n_nationkey % 7 = 2 THEN 'XX_BB' ELSE 'ON_AB' END,
         CASE WHEN n_nationkey % 4 = 0 THEN '0' WHEN n_nationkey % 4 = 1 THEN NULL ELSE '12' END, 'odd'
       FROM nation""",
 }

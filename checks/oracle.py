@@ -159,10 +159,10 @@ _procurement = f"""SELECT *, {case(("item IS NULL", NULL_SOURCE))} AS item_quali
 CONFIGURED_FLAGS = ["origin_node_integrity_quality_flag", "transit_time_quality_flag",
                     "destination_node_integrity_quality_flag"]
 _configured = f"""SELECT c.*,
-  {reference('c.origin_node_id', 'o.node_id', "o.node_type = 'delivery_node'", 'cant_be_an_origin',
+  {reference('c.origin_node_id', 'o.node_id', "o.node_type NOT IN ('origin_node', 'consolidation_hub')", 'cant_be_an_origin',
              'null_in_origin', 'unknown_node')} AS origin_node_integrity_quality_flag,
   {number('c.configured_transit_time_hours', '<= 0')} AS transit_time_quality_flag,
-  {reference('c.destination_node_id', 'd.node_id', "d.node_type = 'origin_node'", 'cant_be_a_destination',
+  {reference('c.destination_node_id', 'd.node_id', "d.node_type NOT IN ('consolidation_hub', 'delivery_node')", 'cant_be_a_destination',
              missing='unknown_node')} AS destination_node_integrity_quality_flag
   FROM (SELECT origin_node_id, destination_node_id,
           {number_cast('configured_transit_time_hours')} AS configured_transit_time_hours, configuration_type
@@ -183,9 +183,9 @@ _tms_typed = f"""SELECT truck_id, upper(trim(origin_node_id)) AS origin_node_id,
   departure_datetime AS departure_text, arrival_datetime AS arrival_text, copies
   FROM ({first('raw_tms', 'tms_transportation', 'truck_id')})"""
 _tms = f"""SELECT t.* EXCLUDE (departure_text, arrival_text, copies),
-  {reference('t.origin_node_id', 'o.node_id', "o.node_type = 'delivery_node'", 'cant_be_an_origin')}
+  {reference('t.origin_node_id', 'o.node_id', "o.node_type NOT IN ('origin_node', 'consolidation_hub')", 'cant_be_an_origin')}
     AS origin_integrity_quality_flag,
-  {reference('t.destination_node_id', 'd.node_id', "d.node_type = 'origin_node'", 'cant_be_a_destination')}
+  {reference('t.destination_node_id', 'd.node_id', "d.node_type NOT IN ('consolidation_hub', 'delivery_node')", 'cant_be_a_destination')}
     AS destination_integrity_quality_flag,
   {case(("carrier IS NULL", NULL_SOURCE),
         ("carrier NOT IN (SELECT carrier FROM rates WHERE quality_record <> 'critical')", "unknown_node"))}
