@@ -32,14 +32,15 @@ def _path(spark: SparkSession, path: str):
     return files.makeQualified(found), files
 
 
-def _listed(spark: SparkSession, path: str) -> list[str]:
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, ascending; none if it is not there."""
     here, files = _path(spark, path)
     return sorted(s.getPath().getName() for s in files.listStatus(here)) if files.exists(here) else []
 
 
 def commits(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the commits of a table, ascending."""
-    return [int(n) for n in _listed(spark, f"{path}/{COMMITS}") if len(n) == DIGITS and n.isdigit()]
+    return [int(n) for n in listed(spark, f"{path}/{COMMITS}") if len(n) == DIGITS and n.isdigit()]
 
 
 def version_of(spark: SparkSession, path: str, number: int) -> str:
@@ -131,7 +132,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     for n in numbers[:-keep]:
         here, files = _path(spark, f"{path}/{COMMITS}/{n:0{DIGITS}d}")
         files.delete(here, False)
-    gone = [v for v in _listed(spark, f"{path}/{VERSIONS}") if v not in alive]
+    gone = [v for v in listed(spark, f"{path}/{VERSIONS}") if v not in alive]
     for name in gone:
         discard(spark, path, name)
     return gone
