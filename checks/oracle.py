@@ -11,7 +11,7 @@ import re
 from checks.feeds import EXTRACTS
 from checks.feeds import SQL as FEED_SQL
 from checks.feeds import with_clause
-from freightloom.schemas import FEEDS
+from freightloom.schemas import CONTRACT, FEEDS, FLAGS, declared
 
 OUT_OF_RANGE, NULL_SOURCE = "out_of_range", "null_in_source"
 
@@ -657,6 +657,49 @@ QUERIES: dict[str, str] = {
 }
 
 
+def nulls(table: str, column: str) -> str:
+    return f"(SELECT count(*) FILTER ({column} IS NULL) FROM {table})"
+
+
+def schema_differences() -> str:
+    """One row for each column whose type is not that of the raw text, and for each column that scoring adds."""
+    out = []
+    for short, name in EXTRACTS.items():
+        head = f"SELECT '{name}' AS table_name"
+        for f in CONTRACT[name]:
+            kind = f.dataType.simpleString()
+            if f.name in FEEDS[name].columns and kind != "string":
+                out.append(f"{head}, '{f.name}' AS column_name, 'retyped' AS change, 'string' AS before, '{kind}' AS after, "
+                           f"TRUE AS is_breaking, {nulls('raw_' + short, f.name)} AS nulls_before, {nulls(short, f.name)} AS nulls_after")
+        out += [f"{head}, '{c}' AS column_name, 'added' AS change, NULL AS before, 'string' AS after, FALSE AS is_breaking, "
+                f"CAST(NULL AS BIGINT) AS nulls_before, {nulls(short, c)} AS nulls_after" for c in (*FLAGS[name], "quality_record")]
+    return " UNION ALL ".join(out)
+
+
+def contract_profile() -> str:
+    """Counts per declared column; the types are those the contract declares."""
+    relations = {name: short for short, name in EXTRACTS.items()} | {
+        "fact_lane_daily": "daily", "fact_lane_simulation": "simulated", "fact_container_compliance": "compliant",
+        "fact_transit_time": "timed"}
+    out = []
+    for name, (schema, keys) in declared().items():
+        for f in schema:
+            labels = (f"(SELECT coalesce(string_agg(v, ',' ORDER BY v), '') FROM (SELECT DISTINCT {f.name} AS v FROM {relations[name]}))"
+                      if f.name.endswith("_flag") or f.name == "quality_record" else "CAST(NULL AS VARCHAR)")
+            place = keys.index(f.name) + 1 if f.name in keys else "CAST(NULL AS INTEGER)"
+            out.append(f"SELECT '{name}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+                       f"{place} AS key_position, (SELECT count(*) FROM {relations[name]}) AS row_count, "
+                       f"{nulls(relations[name], f.name)} AS null_count, {labels} AS flag_values")
+    return " UNION ALL ".join(out)
+
+
+QUERIES |= {
+    "schema_differences": schema_differences(),
+    "contract_profile": contract_profile(),
+    "incremental_legs": QUERIES["silver_wms"],
+}
+
+
 def trimmed(sql: str) -> str:
     """``trim`` in these statements takes off white space of any kind, which DuckDB's own does not."""
     return re.sub(r"\btrim\(((?:[^()]|\([^()]*\))*)\)",

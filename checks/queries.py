@@ -15,12 +15,12 @@ from freightloom.functions.flags import usable
 from freightloom.operators import distances, lookup
 from freightloom.operators.keep_first import keep_first, qualify_first
 from freightloom.operators.percentiles import RANK_ERROR, sketched_percentiles, value_sketches
-from freightloom.plans import audits, compliance, lane_daily, measures, simulation, transit
+from freightloom.plans import audits, compliance, contracts, incremental, lane_daily, measures, simulation, transit
 from freightloom.plans import master_data as md
 from freightloom.plans.lane_daily import LANE
 from freightloom.plans.shipments import silver_wms
 from freightloom.plans.transport import silver_tms
-from freightloom.schemas import FEEDS
+from freightloom.schemas import FACT_KEYS, FEEDS
 from freightloom.sources import versions
 from freightloom.sources.bronze import load_all
 from freightloom.sources.quoted import read_quoted_csv
@@ -589,6 +589,42 @@ def audit_primary_keys(t):
         "tms_transportation": (t.tms, ["truck_id"])})
 
 
+FACT_TABLES = {"daily": "fact_lane_daily", "simulated": "fact_lane_simulation", "compliance": "fact_container_compliance",
+               "transit": "fact_transit_time"}
+
+
+@query
+def schema_differences(t):
+    """What scoring changes against the raw extracts: types, new columns, and the nulls on either side."""
+    raw = {name: (t.raw(n), FEEDS[name].grain) for n, name in EXTRACTS.items()}
+    scored = {name: (getattr(t, n), FEEDS[name].grain) for n, name in EXTRACTS.items()}
+    return contracts.changes(contracts.observed(raw), contracts.observed(scored))
+
+
+@query
+def contract_profile(t):
+    """Every column of the scored tables and facts: type, place in the key, rows, nulls, values of a flag."""
+    tables = {name: (getattr(t, n), FEEDS[name].grain) for n, name in EXTRACTS.items()}
+    tables |= {name: (getattr(t, n), FACT_KEYS[name]) for n, name in FACT_TABLES.items()}
+    return contracts.observed(tables).withColumn("flag_values", F.array_join("flag_values", ","))
+
+
+@query
+def incremental_legs(t):
+    """Legs and runs that arrive in two drops, scored after each by the buckets touched."""
+    base = f"{t.base}/incremental"
+    if "incremental" not in t._published:
+        publish(t.network, base, "silver", incremental.NETWORK)
+        publish(t.rates, base, "silver", incremental.RATES)
+        late = F.pmod(F.crc32(F.coalesce("truck_id", F.lit("")).cast("binary")), F.lit(50)) == 1
+        for drop in (~late, late):
+            for n, name in (("tms", incremental.RUNS), ("wms", incremental.LEGS)):
+                incremental.append_raw(t.raw(n).filter(drop), base, name, 64)
+            incremental.refresh_scored(t.spark, base, count=64)
+        t._published["incremental"] = incremental.read_scored(t.spark, base, incremental.LEGS)
+    return t._published["incremental"]
+
+
 # -- measures ---------------------------------------------------------------------------------
 
 @query
