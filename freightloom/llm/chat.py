@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -138,41 +139,82 @@ class _Digest:
 
 
 class Reader:
-    """Finds the turns again in the segments of one conversation, from markers and the loss mask alone."""
+    """Finds the turns again in the text of one conversation, by its markers, and the text under the loss mask.
+
+    Text comes in pieces that may be cut anywhere; the mask is ranges of offsets into the whole text.  Only escapes keep control
+    strings inside a text from being read as markers.  Held back is what may be the start of a marker or of an escape.
+    """
 
     def __init__(self, conv_id, template: Template):
         self.conv_id, self.template = conv_id, template
         self.turns, self.loss = _Digest(), _Digest()
-        self.count = self.chars = 0
-        self.role: str | None = None
-        self.closer = ""
-        self.valid = self.open = False
+        self.count = self.chars = self.at = 0
+        self.buffer, self.state, self.valid = "", "between", False
+        self.name, self.closer = "", ""
+        self.mask: deque[tuple[int, int]] = deque()
         self.openers = {t.before: (r, t.after) for r, t in template.turns.items()}
-
-    def take(self, text: str, loss: bool, valid: bool, last: bool) -> None:
+        self.marks = sorted({*self.openers, template.other.before}, key=len, reverse=True)
+
+    def take(self, text: str, loss: bool) -> None:
+        """The next piece of text; ``loss``: all of it is under the mask."""
+        if loss and text:
+            # ranges that touch are one, as a piece may end within an escape
+            low = self.mask.pop()[0] if self.mask and self.mask[-1][1] == self.chars else self.chars
+            self.mask.append((low, self.chars + len(text)))
         self.chars += len(text)
-        if last:
-            self.valid = valid
-        elif self.role is None:
-            other = self.template.other
-            if text in self.openers:
-                self.role, self.closer = self.openers[text]
+        self.buffer += text
+        self._read(False)
+
+    def end(self, valid: bool) -> None:
+        self.valid = valid
+        self._read(True)
+        if self.buffer or self.state != "between":
+            raise ValueError(f"conversation {self.conv_id}: ends within a turn")
+
+    def _read(self, done: bool) -> None:
+        while self.buffer:
+            if self.state == "between":
+                if len(self.buffer) < len(self.marks[0]) and not done:
+                    return
+                mark = next((m for m in self.marks if self.buffer.startswith(m)), None)
+                if mark is None:
+                    raise ValueError(f"conversation {self.conv_id}: {self.buffer[:20]!r} where a turn was due")
+                self._pass(len(mark))
+                self.count += 1
+                if mark in self.openers:
+                    role, self.closer = self.openers[mark]
+                    self.turns.add(role, "\n")
+                    self.state = "text"
+                else:
+                    self.closer, self.state = self.template.other.after, "name"
             else:
-                name = text.removeprefix(other.before).removesuffix(self.template.between)
-                self.role, self.closer = self.template.unescaped(name), other.after
-            self.turns.add(self.role, "\n")
-            self.count += 1
-            self.open = True
-        elif self.open:
-            body = self.template.unescaped(text)
-            self.turns.add(body, "\n")
-            if loss:
-                self.loss.add(body)
-            self.open = False
-        else:
-            if text != self.closer:
-                raise ValueError(f"conversation {self.conv_id}: {text!r} where {self.closer!r} was due")
-            self.role = None
+                closer = self.template.between if self.state == "name" else self.closer
+                found = self.buffer.find(closer)
+                plain = self._pass(found if found >= 0 else self._sure(closer))
+                self.turns.add(plain)
+                if found < 0:
+                    return
+                self.turns.add("\n")
+                self._pass(len(closer))
+                self.state = "text" if self.state == "name" else "between"
+
+    def _sure(self, closer: str) -> int:
+        """Characters at the front that can be neither part of a closing marker nor half an escape."""
+        n = max(0, len(self.buffer) - len(closer) + 1)
+        escapes = n - len(self.buffer[:n].rstrip(self.template.escape))
+        return n - escapes % 2
+
+    def _pass(self, n: int) -> str:
+        """Take off ``n`` characters: their plain text, of which what is under the mask is added to the loss."""
+        raw, self.buffer = self.buffer[:n], self.buffer[n:]
+        while self.mask and self.mask[0][0] < self.at + n:
+            low, high = self.mask[0]
+            self.loss.add(self.template.unescaped(raw[max(0, low - self.at):high - self.at]))
+            if high > self.at + n:
+                break
+            self.mask.popleft()
+        self.at += n
+        return self.template.unescaped(raw)
 
     def row(self) -> tuple:
         return (self.conv_id, self.count, self.turns.hash.hexdigest(), self.loss.chars, self.loss.hash.hexdigest(),
@@ -180,7 +222,7 @@ class Reader:
 
 
 def chat_digests(segments: DataFrame, template: Template) -> DataFrame:
-    """One row per conversation, read back from stored segments."""
+    """One row per conversation, read back from its stored text and loss mask; the bounds of segments are not used."""
     ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
     names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
 
@@ -193,7 +235,10 @@ def chat_digests(segments: DataFrame, template: Template) -> DataFrame:
                     if now is not None:
                         done.append(now.row())
                     now = Reader(c, template)
-                now.take(text, loss, valid, last)
+                if last:
+                    now.end(valid)
+                else:
+                    now.take(text, loss)
             yield dict(zip(names, zip(*done))) if done else {n: [] for n in names}
         if now is not None:
             yield dict(zip(names, ([v] for v in now.row())))
