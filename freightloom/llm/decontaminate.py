@@ -7,7 +7,8 @@ between the item and any part of the text.  Both sides are compared in lower cas
 one space.
 
 The items are the stated query set: they go to the tasks in blocks of bounded size, one pass over the documents
-for each block, so a large benchmark means more passes and not more memory.
+for each block, so a large benchmark means more passes and not more memory.  With several blocks each pass is written and
+its block given up before the next one is sent.
 
 Nulls, empty texts and ties: a NULL or blank text or item matches nothing; rows with one ``item_id`` are one
 item with several texts and the nearest counts; repeated documents each get their rows; NULL ids stay NULL.
@@ -17,13 +18,14 @@ Other columns are ignored in results and kept by ``clean``.  Empty tables match
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightloom.llm.common import map_rows
+from freightloom.llm.common import kept, map_rows, numbered, workspace
 
 #: Edits allowed per character of an item, and characters of items in a block.
 RATE, BLOCK_CHARS = 0.08, 16 << 20
@@ -111,45 +113,74 @@ class Items:
         return [(i, *d) for i, d in best.items()]
 
 
-def item_blocks(items: DataFrame, rate: float = RATE) -> Iterator[Items]:
-    """Blocks of the benchmark, each of bounded size."""
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
+    """Blocks of (item_id, compared text), each of about ``BLOCK_CHARS`` characters or one longer text.
+
+    Texts are dealt by themselves and not by their id, so an id with very many texts spreads over all blocks.
+    """
     texts = items.select("item_id", "text").where(F.col("text").isNotNull())
     total = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = -(-total // BLOCK_CHARS)
     for b in range(blocks):
-        rows = texts.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).distinct().collect()
-        yield Items(sorted({(r["item_id"], plain(r["text"])) for r in rows}, key=repr), rate)
+        rows = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect()
+        yield sorted({(r["item_id"], plain(r["text"])) for r in rows}, key=repr)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, item_id, distance and budgeted end of the match, one row for each document and item that match."""
-    schema = "doc_id long, item_id long, distance int, match_end long"
-    source, out = docs.select(F.col("doc_id").cast("long"), "text"), None
-    for block in item_blocks(items, rate):
-        sent = docs.sparkSession.sparkContext.broadcast(block.rows)
-
-        def rows(batches, sent=sent):
-            mine = Items([(i, t) for i, t, _, _ in sent.value], rate)
+    spark, schema = docs.sparkSession, "doc_id long, item_id long, distance int, match_end long"
+    source, folder, passes, row = docs.select(F.col("doc_id").cast("long"), "text"), None, [], None
+    ahead = item_blocks(items)
+    block = next(ahead, None)
+    while block is not None:
+        following = next(ahead, None)
+        if following is not None and folder is None:
+            # the matches of several passes come together by the number of the document's row
+            folder = workspace(spark)
+            source, row = numbered(source, folder)
+        sent = spark.sparkContext.broadcast(block)
+        names = [f.split()[0] for f in schema.split(", ")]
+
+        def rows(batches, sent=sent, row=row, names=names):
+            mine = Items(sent.value, rate)
             for b in batches:
-                got = [(d, *h) for d, t in zip(b["doc_id"], b["text"]) for h in mine.hits(t)]
-                yield dict(zip(("doc_id", "item_id", "distance", "match_end"), zip(*got))) if got else {
-                    "doc_id": [], "item_id": [], "distance": [], "match_end": []}
-
-        found = map_rows(source, rows, schema)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+                lead = zip(b[row], b["doc_id"]) if row else ((d,) for d in b["doc_id"])
+                got = [(*d, *h) for d, t in zip(lead, b["text"]) for h in mine.hits(t)]
+                listed = [row, *names] if row else names
+                yield dict(zip(listed, zip(*got))) if got else {n: [] for n in listed}
+
+        found = map_rows(source, rows, f"{row} long, {schema}" if row else schema)
+        if row is None:
+            return found
+        passes.append(kept(found, folder, f"pass{len(passes)}"))
+        sent.unpersist()
+        block = following
+    if not passes:
+        return spark.createDataFrame([], schema)
+    every = reduce(DataFrame.unionByName, passes)
+    nearest = every.groupBy(row, "doc_id", "item_id").agg(F.min(F.struct("distance", "match_end")).alias("_near"))
+    return nearest.select("doc_id", "item_id", "_near.distance", "_near.match_end")
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """The documents that match no item, with all their columns."""
-    for block in item_blocks(items, rate):
-        sent = docs.sparkSession.sparkContext.broadcast(block.rows)
+    spark, folder, done = docs.sparkSession, None, 0
+    ahead = item_blocks(items)
+    block = next(ahead, None)
+    while block is not None:
+        following = next(ahead, None)
+        sent = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            mine = Items([(i, t) for i, t, _, _ in sent.value], rate)
+            mine = Items(sent.value, rate)
             for b in batches:
                 texts = b.column(b.schema.get_field_index("text")).to_pylist()
                 yield b.filter(pa.array(np.array([not mine.hits(t) for t in texts], bool)))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if following is not None:
+            folder = folder or workspace(spark)
+            docs, done = kept(docs, folder, f"pass{done}"), done + 1
+            sent.unpersist()
+        block = following
     return docs

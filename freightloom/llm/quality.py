@@ -108,7 +108,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Discriminant | float:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Discriminant | float:
-    """Fit on labelled documents that are not held out, at most about ``sample`` of them."""
+    """Fit on labelled documents that are not held out, at most ``sample`` of them; a document with several texts counts for each."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     known = usable.count()
     share = min(1.0, sample / max(1, known))
@@ -121,7 +121,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Discrimin
         for b in batches:
             yield {"quality": b["quality"], "x": [statistics(t) for t in b["text"]], "doc_id": b["doc_id"]}
 
-    got = map_rows(rows, measured, "doc_id long, quality int, x array<double>").collect()
+    # equal rows count once, and no more than the bound are collected: a repeated doc_id may have any number of rows
+    listed = map_rows(rows, measured, "doc_id long, quality int, x array<double>").distinct()
+    got = listed.orderBy(F.xxhash64("doc_id", "quality", "x"), "doc_id", "quality", "x").limit(sample).collect()
     got.sort(key=lambda r: (r["doc_id"], r["quality"], r["x"]))
     if not got:
         return 0.5

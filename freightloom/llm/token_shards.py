@@ -17,6 +17,7 @@ in a stream.  Other columns are ignored.  An empty table gives empty files and r
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ TRIES = 1 << 17
 SHARD = "part int, seq int, at long, n_ids long, first_copy long, width int, doc_ids binary, lengths binary, payload binary"
 BUCKET = "bucket long, n int, salt long, pilots binary, prints binary, parts binary, seqs binary, places binary, " \
          "starts binary, lengths binary"
+#: Keys that ``fetch`` looks up on their own; their places fit a broadcast of a megabyte.
+FEW = 10_000
 #: Stands for NULL among document ids.
 NONE = -(1 << 63)
 
@@ -193,8 +196,11 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SHARD).parquet(f"{path}/shards")
 
 
-def lookup(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """Places of stored keys: doc_id, copy, part, seq, place, start, n_tokens.  ``keys``: distinct (doc_id, copy)."""
+def lookup(spark: SparkSession, path: str, keys: DataFrame, few: bool = False) -> DataFrame:
+    """Places of stored keys: doc_id, copy, part, seq, place, start, n_tokens.  ``keys``: distinct (doc_id, copy).
+
+    With ``few`` keys (at most ``FEW``) the scan of the index is told which buckets they are in.
+    """
     index = spark.read.schema(BUCKET).parquet(f"{path}/index")
     buckets = index.agg(F.coalesce(F.max("bucket"), F.lit(0))).first()[0] + 1
     out = "doc_id long, copy long, part int, seq int, place int, start long, n_tokens long"
@@ -224,6 +230,9 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
 
     hashed = map_rows(keys.select(F.col("doc_id").cast("long"), F.col("copy").cast("long")), hashes,
                       "bucket long, h long, doc_id long, copy long")
+    if few:
+        asked = [r.bucket for r in hashed.select("bucket").distinct().collect()]
+        index = index.where(F.col("bucket").isin(asked))
     return hashed.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, out)
 
 
@@ -245,9 +254,38 @@ def slices(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
 
 
 def fetch(spark: SparkSession, path: str, keys: DataFrame, with_ids: bool = True) -> DataFrame:
-    """The stored documents of ``keys`` (distinct doc_id, copy) by way of the index."""
-    found = lookup(spark, path, keys)
-    return found.join(slices(spark, path, with_ids), ["part", "seq", "place"]).drop("part", "seq", "place")
+    """The stored documents of ``keys`` (distinct doc_id, copy) by way of the index.
+
+    Up to ``FEW`` keys, counted first, are found in their index buckets alone; their places go to the rows of the shards
+    that hold them, other row groups are not read, and nothing but the asked places is cut.  More keys than that meet all
+    stored documents by shuffles of places, so that payloads never move.
+    """
+    if keys.limit(FEW + 1).count() > FEW:
+        found = lookup(spark, path, keys)
+        return found.join(slices(spark, path, with_ids), ["part", "seq", "place"]).drop("part", "seq", "place")
+    found = lookup(spark, path, keys, few=True).collect()
+    asked = defaultdict(list)
+    for r in found:
+        asked[r.part, r.seq].append((r.place, r.doc_id, r.copy, r.start, r.n_tokens))
+    places = spark.sparkContext.broadcast(dict(asked))
+    schema = "doc_id long, copy long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
+    # both bounds reach the scan, which skips row groups by their statistics
+    wanted = (F.col("part").isin(sorted({p for p, _ in asked})) & F.col("seq").isin(sorted({q for _, q in asked}))
+              if asked else F.lit(False))
+
+    def rows(batches) -> Iterator[dict]:
+        for b in batches:
+            for part, seq, width, lens, body in zip(*(b[c] for c in ("part", "seq", "width", "lengths", "payload"))):
+                mine = places.value.get((part, seq), [])
+                flat, ends = np.frombuffer(body, f"<u{width}"), np.cumsum(np.frombuffer(lens, "<i8"))
+                cut = [flat[ends[p] - n:ends[p]].astype("<u4") for p, _, _, _, n in mine]
+                names = ("doc_id", "copy", "start", "n_tokens")
+                out = {name: [m[i] for m in mine] for i, name in enumerate(names, 1)}
+                out["ids_crc32"] = [zlib.crc32(x.tobytes()) for x in cut]
+                yield out | ({"ids": [x.astype(np.int32) for x in cut]} if with_ids else {})
+
+    held = read_shards(spark, path).where(wanted).select("part", "seq", "width", "lengths", "payload")
+    return map_rows(held, rows, schema)
 
 
 def all_keys(docs: DataFrame) -> DataFrame:
