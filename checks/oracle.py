@@ -697,6 +697,7 @@ QUERIES |= {
     "schema_differences": schema_differences(),
     "contract_profile": contract_profile(),
     "incremental_legs": QUERIES["silver_wms"],
+    **{f"{name}_by_bucket": QUERIES[name] for name in ("truck_triplets", "container_counts", "audit_package_count")},
 }
 
 

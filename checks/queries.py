@@ -23,6 +23,7 @@ from freightloom.plans.transport import silver_tms
 from freightloom.schemas import FACT_KEYS, FEEDS
 from freightloom.sources import versions
 from freightloom.sources.bronze import load_all
+from freightloom.sources.colocated import Pair, publish_pair
 from freightloom.sources.quoted import read_quoted_csv
 from freightloom.sources.sinks import publish, read_table
 from freightloom.sources.spine import spread_over_days
@@ -65,6 +66,11 @@ class Tables:
             self.csv(name)
         return load_all(self.spark, f"{self.base}/extracts", f"{self.base}/loaded")
 
+    @cached_property
+    def by_truck(self) -> Pair:
+        """Scored legs and runs bucketed by truck."""
+        return publish_pair(self.wms, self.tms, f"{self.base}/derived/by_truck", "truck_id", buckets=16)
+
     def plan(self, name: str) -> DataFrame:
         return PLANS[name](self)
 
@@ -408,6 +414,11 @@ def truck_triplets(t):
     return rounded(simulation.truck_triplets(t.wms, t.tms))
 
 
+@query
+def truck_triplets_by_bucket(t):
+    return rounded(t.by_truck.by_key(simulation.truck_triplets))
+
+
 @query
 def monthly_triplets(t):
     return rounded(t.plan("triplets"))
@@ -482,6 +493,11 @@ def container_counts(t):
     return compliance.container_counts(t.wms, t.tms)
 
 
+@query
+def container_counts_by_bucket(t):
+    return compliance.counted_containers(t.by_truck.by_key(compliance.loaded_containers))
+
+
 @query
 def container_compliance(t):
     return t.plan("compliance")
@@ -526,6 +542,11 @@ def audit_package_count(t):
     return audits.package_count_mismatch(t.tms, t.wms)
 
 
+@query
+def audit_package_count_by_bucket(t):
+    return t.by_truck.by_key(lambda legs, runs: audits.package_count_mismatch(runs, legs))
+
+
 @query
 def audit_capacity(t):
     return audits.cbm_over_capacity(t.tms)

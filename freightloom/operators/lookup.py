@@ -6,21 +6,38 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightloom.functions.flags import usable
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
+#: A value of fixed width counts as this many bytes, and so does the header of one that varies.
+WORD = 8
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a frame for broadcast only after counting that it has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: texts and binary by their length, nested values by that of their JSON text."""
+    sizes: list[Column] = []
+    for f in df.schema:
+        value = F.col(f"`{f.name.replace('`', '``')}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.octet_length(value))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(value))))
+    return sum((F.coalesce(s, F.lit(0)) for s in sizes), F.lit(WORD * len(df.columns))).cast("long")
 
-    For written tables only: the count stops at ``max_rows + 1`` rows, so it is cheap there, and would run
+
+def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark a frame for broadcast only after measuring that it has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    For written tables only: rows and bytes are measured on ``max_rows + 1`` rows at most, so it is cheap there, and would run
     the plan of a derived frame a second time; leave such a frame's joins to adaptive execution.  A larger frame comes back without a hint, so its
     joins shuffle and adaptive execution splits their skewed partitions.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    seen = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if seen.rows <= max_rows and seen.bytes <= max_bytes else df
 
 
 def attach(

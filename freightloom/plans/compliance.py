@@ -15,15 +15,30 @@ BOX_ITEM = "BOX_CONTAINER"
 LEG = ["truck_id", *LANE]
 
 
+def loaded_containers(wms: DataFrame, tms: DataFrame) -> DataFrame:
+    """Container, lane and date of what was loaded on runs of the same lane, truck by truck.
+
+    The lane is compared outside the keys of the join, so that tables bucketed by truck meet without a shuffle.
+    """
+    loaded = usable(wms).select(*LEG, "container_id").distinct()
+    runs = usable(tms).select(
+        F.col("truck_id").alias("_run"), *[F.col(c).alias(f"_{c}") for c in LANE],
+        F.to_date("departure_datetime").alias("departure_date"))
+    same_lane = [F.coalesce(F.col(c) == F.col(f"_{c}"), F.lit(False)) for c in LANE]
+    return loaded.join(runs, [F.col("truck_id") == F.col("_run"), *same_lane]).select("departure_date", *LANE, "container_id")
+
+
 def container_counts(wms: DataFrame, tms: DataFrame) -> DataFrame:
     """Distinct metal and cardboard containers per (date, lane).
 
     Containers are made distinct first and then summed: no row is multiplied per distinct aggregate,
     and copies collapse before each shuffle.
     """
-    loaded = usable(wms).select(*LEG, "container_id").distinct()
-    runs = usable(tms).select(*LEG, F.to_date("departure_datetime").alias("departure_date"))
-    daily = loaded.join(runs, LEG).select("departure_date", *LANE, "container_id").distinct()
+    return counted_containers(loaded_containers(wms, tms))
+
+
+def counted_containers(loaded: DataFrame) -> DataFrame:
+    daily = loaded.distinct()
     kind = container_type(F.col("container_id"))
     return daily.groupBy("departure_date", *LANE).agg(
         F.count_if(kind == "MTL").alias("mtl_container_count"),
@@ -31,7 +46,12 @@ def container_counts(wms: DataFrame, tms: DataFrame) -> DataFrame:
 
 
 def container_compliance(wms: DataFrame, tms: DataFrame, network: DataFrame, procurement: DataFrame) -> DataFrame:
-    counts = node_lookup(container_counts(wms, tms), bounded(usable(network)), "destination_node_id",
+    return compliance_of(container_counts(wms, tms), network, procurement)
+
+
+def compliance_of(counts: DataFrame, network: DataFrame, procurement: DataFrame) -> DataFrame:
+    """Compliance from counts per (date, lane)."""
+    counts = node_lookup(counts, bounded(usable(network)), "destination_node_id",
                          {"node_capability": "node_capability"})
     # the item is every row's, so only a broadcast or a split of the counts keeps this join from one task
     prices = usable(procurement).filter(F.col("item") == BOX_ITEM).select("item", "cost_per_unit_eur")

@@ -54,7 +54,12 @@ def truck_triplets(wms: DataFrame, tms: DataFrame) -> DataFrame:
 
 
 def monthly_triplets(wms: DataFrame, tms: DataFrame) -> DataFrame:
-    return truck_triplets(wms, tms).groupBy(*TRIPLET).agg(
+    return summed_triplets(truck_triplets(wms, tms))
+
+
+def summed_triplets(per_truck: DataFrame) -> DataFrame:
+    """Packages and volume per triplet and month, over all trucks."""
+    return per_truck.groupBy(*TRIPLET).agg(
         F.sum("triplet_shipment_count").alias("monthly_triplet_packages"),
         F.sum("triplet_cbm").alias("monthly_triplet_cbm"))
 
@@ -176,7 +181,15 @@ def lane_simulation(
     lane_daily: DataFrame, thin: float | DataFrame = THIN_CBM, thick: float = THICK_CBM, hub_leg: bool = False,
 ) -> DataFrame:
     """Simulation fact: one row per (origin, destination, sort code, month)."""
-    triplets = prorate_cbm(monthly_triplets(wms, tms))
+    return simulation_of(monthly_triplets(wms, tms), network, rates, handling, lane_daily, thin, thick, hub_leg)
+
+
+def simulation_of(
+    monthly: DataFrame, network: DataFrame, rates: DataFrame, handling: DataFrame,
+    lane_daily: DataFrame, thin: float | DataFrame = THIN_CBM, thick: float = THICK_CBM, hub_leg: bool = False,
+) -> DataFrame:
+    """Simulation fact from monthly triplets."""
+    triplets = prorate_cbm(monthly)
     enriched = nearest_hub(enrich_triplets(triplets, network, rates))
     costed = triplet_costs(enriched, lane_daily, handling)
     advised = recommend_hub(categorise(costed, thin, thick))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from freightloom.functions.geo import haversine_km
 from freightloom.operators.distances import lane_distances, nearest_nodes
 from freightloom.operators.keep_first import keep_first, qualify_first
-from freightloom.operators.lookup import bounded, member_flag
+from freightloom.operators.lookup import bounded, member_flag, row_bytes
 from freightloom.operators.percentiles import RANK_ERROR, percentiles, sketched_percentiles, value_cuts, value_sketches
 from freightloom.sources.spine import date_spine, spread_over_days
 
@@ -69,6 +69,18 @@ def test_bounded_broadcasts_small_frames_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_bounded_measures_bytes_too(spark):
+    wide = spark.range(10).select(F.col("id").alias("d.e"), F.lit("é" * 500).alias("t"), F.array(F.lit("x" * 500)).alias("a"))
+    size = wide.agg(F.sum(row_bytes(wide))).first()[0]
+    assert size >= 10 * (1000 + 500)
+
+    def hinted(max_bytes):
+        return "ResolvedHint" in bounded(wide, max_bytes=max_bytes)._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(size) and not hinted(size - 1)
+    assert "ResolvedHint" in bounded(wide.limit(0), max_bytes=0)._jdf.queryExecution().analyzed().toString()
+
+
 def test_member_flag_three_valued(spark):
     df = spark.createDataFrame([("a",), ("z",), (None,)], "x string")
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from freightloom.plans.refresh import refresh_gold, refresh_silver
+from freightloom.plans.refresh import colocate_legs, refresh_gold, refresh_silver
 from freightloom.schemas import CONTRACT, FEEDS
 from freightloom.sources.bronze import load_all, overlong_rows, read_bronze_csv
 from freightloom.sources.sinks import publish, read_table
@@ -134,3 +134,6 @@ def test_refresh_end_to_end(spark, tmp_path):
     gold = refresh_gold(spark, base)
     assert {n: df.count() for n, df in gold.items()} == {
         "fact_lane_daily": 184, "fact_lane_simulation": 1, "fact_container_compliance": 1, "fact_transit_time": 1}
+    rows = {n: df.collect() for n, df in gold.items()}
+    again = refresh_gold(spark, base, by_truck=colocate_legs(spark, base, buckets=4))
+    assert {n: df.collect() for n, df in again.items()} == rows
