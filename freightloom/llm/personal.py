@@ -4,9 +4,10 @@ The base rules find emails, addresses of hosts, payment cards and phone numbers;
 Generators with high recall propose further, overlapping spans of the same kinds: every run of digit groups, its pieces
 without a space, every window of neighbouring groups with 4 to 19 digits, and everything shaped like a spelt-out email (up to 64
 characters of a name before a mail sign and 600 after it; these widths bound added spans only, never base spans).  Boosted trees score them by format and context.  The
-trees learn from candidates labelled by the base rules on at most ``DOCS`` documents and ``SAMPLE`` candidates
-(documented bounds, by a hash of the id); a fifth of them, kept apart, sets a threshold for each kind at the least
-probability that is precise enough.  Chosen spans that touch no stronger one are added.
+trees learn from the candidates of all documents, labelled by the base rules; a fifth of the documents, by a hash of
+the id, is kept apart and sets a threshold for each kind at the least probability, in steps of 1e-5, that is precise
+enough; of equal ones the right count first, since what the base rules miss is counted as wrong.  Equal candidates are counted where they are found; only counts and sums come to the driver.
+Chosen spans that touch no stronger one are added.
 
 Nulls, empty texts and ties: a NULL or empty text has no spans; equal scores keep the earlier and longer span;
 repeated rows each get a row; a text of any length takes time in proportion to it; a NULL ``doc_id`` stays NULL; other columns are ignored.  Without any candidate
@@ -23,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightloom.llm import boosting
-from freightloom.llm.common import map_rows, rank_of
+from freightloom.llm.common import kept, map_rows, rank_of, workspace
 
 KINDS = ("email", "ip", "card", "phone")
-DOCS, SAMPLE, PRECISION, FEWEST = 20_000, 20_000, 0.98, 20
+PRECISION, FEWEST = 0.98, 20
+#: Steps of a threshold, and different candidates that a task counts before it passes them on.
+STEPS, HELD = 100_000, 50_000
 Span = tuple[str, int, int]
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -178,36 +181,58 @@ def _touches(span: Span, others: list[Span]) -> bool:
     return any(span[1] < b and a < span[2] for _, a, b in others)
 
 
-def learn(docs: DataFrame, sample_docs: int = DOCS, sample: int = SAMPLE) -> Chooser:
-    """Trees from a bounded sample of candidates; thresholds from the part of it that is kept apart."""
-    source = docs.select(F.col("doc_id").cast("long"), "text")
-    share = min(1.0, sample_docs / max(1, source.count()))
-    some = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-
+def counted_candidates(docs: DataFrame) -> DataFrame:
+    """Candidates of all documents: kind, whether kept apart, features, their number and how many are base spans."""
     def rows(batches):
+        held: dict[tuple[str, bool, bytes], list[int]] = {}
+
+        def out():
+            yield {"kind": [k[0] for k in held], "apart": [k[1] for k in held], "x": [k[2] for k in held],
+                   "n": [v[0] for v in held.values()], "y": [v[1] for v in held.values()]}
+            held.clear()
+
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"]):
                 text = text or ""
-                base = set(base_spans(text))
-                got = candidates(text)
-                yield {"doc_id": [doc_id] * len(got), "kind": [c[0] for c in got], "start": [c[1] for c in got],
-                       "x": [features(text, c) for c in got], "y": [int(c in base) for c in got]}
-
-    listed = map_rows(some, rows, "doc_id long, kind string, start long, x array<double>, y int")
-    got = listed.orderBy(F.xxhash64("doc_id", "kind", "start"), "doc_id", "kind", "start", "x").limit(sample).collect()
-    apart = np.array([rank_of(r["doc_id"]) == 0 for r in got], bool)
-    if not got or apart.all():
+                base, apart = set(base_spans(text)), rank_of(doc_id) == 0
+                for c in candidates(text):
+                    count = held.setdefault((c[0], apart, boosting.packed(features(text, c))), [0, 0])
+                    count[0] += 1
+                    count[1] += c in base
+                    if len(held) >= HELD:
+                        yield from out()
+        yield from out()
+
+    listed = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), rows,
+                      "kind string, apart boolean, x binary, n long, y long")
+    return listed.groupBy("kind", "apart", "x").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
+
+
+def learn(docs: DataFrame) -> Chooser:
+    """Trees from all candidates of four fifths of the documents; thresholds from those of the fifth that is kept apart."""
+    folder = workspace(docs.sparkSession)
+    seen = kept(counted_candidates(docs), folder, "candidates")
+    taught = seen.where("NOT apart")
+    if taught.isEmpty():
         return Chooser(None, {})
-    x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float)
-    trees = boosting.fit(x[~apart], y[~apart])
-    p, kinds, least = trees.probability(x), np.array([r["kind"] for r in got]), {}
+    trees = boosting.fit_counted(taught, folder)
+
+    def steps(batches):
+        for b in batches:
+            if b["x"]:
+                p = trees.probability(np.stack([np.frombuffer(x, "<i2") for x in b["x"]]))
+                yield {"kind": b["kind"], "step": np.floor(p * STEPS).astype(int).tolist(), "n": b["n"], "y": b["y"]}
+
+    stepped = map_rows(seen.where("apart"), steps, "kind string, step int, n long, y long").groupBy("kind", "step").agg(
+        F.sum("n").alias("n"), F.sum("y").alias("y")).collect()
+    least = {}
     for kind in KINDS:
-        mine = apart & (kinds == kind)
-        order = np.argsort(-p[mine], kind="stable")
-        right = np.cumsum(y[mine][order])
-        good = np.nonzero(right >= PRECISION * np.arange(1, len(order) + 1))[0]
+        mine = np.array(sorted((-r.step, r.n, r.y) for r in stepped if r.kind == kind), np.int64).reshape(-1, 3)
+        every, right = np.cumsum(mine[:, 1]), np.cumsum(mine[:, 2])
+        # the right ones of a step count before its others, which include what the base rules miss
+        good = np.nonzero((mine[:, 2] > 0) & (right >= PRECISION * (every - mine[:, 1] + mine[:, 2])))[0]
         if len(good) and right[good[-1]] >= FEWEST:
-            least[kind] = float(max(0.5, p[mine][order][good[-1]]))
+            least[kind] = float(max(0.5, -mine[good[-1], 0] / STEPS))
     return Chooser(trees, least)
 
 
