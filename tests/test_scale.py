@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
+from checks import feeds
+from freightloom.operators import keep_first as kf
+from freightloom.operators.keep_first import keep_first
 from freightloom.plans import audits
 
 
@@ -21,3 +27,36 @@ def test_trucks_are_not_collected_for_the_foreign_keys(spark, typed, tmp_path):
     on_trucks = [x for x in plan_of(out).splitlines() if "LeftAnti" in x]
     assert len(on_trucks) == 3 and sum("SortMergeJoin" in x for x in on_trucks) == 1
     assert sorted(r.value for r in out.collect()) == ["TRK_0000050", "TRK_0000051"]
+
+
+def _below_first_exchange(plan):
+    """The plan under its first exchange: what tasks do before rows are dealt."""
+    lines = plan.splitlines()
+    return "\n".join(lines[next(i for i, x in enumerate(lines) if "Exchange" in x):])
+
+
+def test_rows_of_small_groups_are_dealt_before_they_are_aggregated(spark):
+    """The tasks that read sorted all they read by key, which grew with how well a file is compressed."""
+    df = spark.range(3000).select((F.col("id") % 1000).cast("string").alias("k"), F.col("id").alias("v"))
+    out = keep_first(df, ["k"], copies="c")
+    assert "Aggregate" not in _below_first_exchange(plan_of(out))
+    assert {r.c for r in out.collect()} == {3} and {r.v for r in out.collect()} == set(range(1000))
+
+
+@pytest.mark.parametrize("third", ["hot", None])
+def test_hot_groups_go_another_way_with_the_same_rows(spark, monkeypatch, third):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).when(F.col("id") % 2 == 0, F.lit(third)).alias("k"),
+        F.col("id").alias("v"))
+    want = sorted(map(str, keep_first(df, ["k"], copies="c").collect()))
+    monkeypatch.setattr(kf, "HOT_ROWS", 100)
+    out = keep_first(df, ["k"], copies="c")
+    assert "Union" in plan_of(out) and sorted(map(str, out.collect())) == want
+
+
+def test_portions_of_a_source_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    spark.range(5000).selectExpr("id AS o_orderkey").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    assert feeds.source(spark, str(tmp_path), "orders").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(feeds, "ROWS", 100, raising=False)
+    df = feeds.source(spark, str(tmp_path), "orders")
+    assert df.rdd.getNumPartitions() == 50 and df.count() == 5000
