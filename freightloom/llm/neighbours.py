@@ -6,7 +6,8 @@ blocks of up to ``BLOCK`` vectors.  A block holds its ids, its vectors and one i
 that have the pivot in their prefix, with the pivot's weight there (``PREFIX`` less its place).  Of two prefixes the
 footrule distance, missing pivots counted at place ``PREFIX``, is PREFIX * (PREFIX + 1) less twice the sum, over
 shared pivots, of the smaller weight; a query adds up those sums from the files of its own pivots.  The rows of a block whose footrule is
-among the best ``SHARE`` (``LEAST`` rows at least, ties included) are reranked by their exact inner products.
+among the best ``SHARE`` (``LEAST`` rows at least, ties included) are reranked by their exact inner products, which are
+summed in order only where a matrix product, less its rounding, leaves the row a chance.
 
 Queries meet all blocks, ``QUERIES`` at a time: that many are sent to all tasks (a bound of their bytes), each job reads the
 index once, and a task keeps the best ``k`` of each query.  The sum of a score runs over the components in order, in doubles.
@@ -123,19 +124,36 @@ class Best:
             kept_[q, :len(best)] = new[best]
 
 
-def overlap(block: dict, prefix: np.ndarray, rows: int) -> np.ndarray:
+def unrolled(block: dict, rows: int) -> np.ndarray:
+    """Pivots by rows: the weights of the inverted files at their rows, 0 for rows a file does not have."""
+    starts, posted, weights = (np.frombuffer(block[c], t) for c, t in (("starts", "<i4"), ("posted", "<u2"), ("weights", "<u2")))
+    out = np.zeros((len(starts) - 1, rows), np.uint8 if weights.max(initial=0) < 256 else np.uint16)
+    out[np.repeat(np.arange(len(starts) - 1), np.diff(starts)), posted] = weights
+    return out
+
+
+def overlap(block: dict, prefix: np.ndarray, rows: int, files: np.ndarray | None = None) -> np.ndarray:
     """Queries by rows: the sum of the smaller weights over shared pivots, from the inverted files."""
+    files = unrolled(block, rows) if files is None else files
     length = prefix.shape[1]
-    starts, posted, weights = (np.frombuffer(block[c], t) for c, t in (("starts", "<i4"), ("posted", "<u2"), ("weights", "<u2")))
+    own = np.arange(length, 0, -1).astype(files.dtype)[:, None]
     total = np.zeros((len(prefix), rows), np.int32)
-    own_starts, own_posted, own_weights = inverted(prefix, len(starts) - 1)  # the queries by pivot
-    for p in range(len(starts) - 1):
-        here, there = slice(own_starts[p], own_starts[p + 1]), slice(starts[p], starts[p + 1])
-        if here.start < here.stop and there.start < there.stop:
-            total[np.ix_(own_posted[here], posted[there])] += np.minimum(own_weights[here, None], weights[None, there])
+    for q, mine in enumerate(prefix):
+        smaller = files[mine]
+        np.minimum(smaller, own, out=smaller)
+        # the largest sum is 1 + ... + length
+        total[q] = np.add.reduce(smaller, axis=0, dtype=np.uint16 if length < 362 else np.int32)
     return total
 
 
+def hopeful(near: np.ndarray, slack: float, k: int, worst: float) -> np.ndarray:
+    """Which rows may be among the best ``k``, by products that are off by ``slack`` at most; ``worst`` is the score to beat."""
+    if not np.isfinite(slack) or not np.isfinite(near).all():
+        return np.ones(len(near), bool)
+    edge = np.partition(near, len(near) - k)[len(near) - k] - slack if len(near) > k else -np.inf
+    return near >= max(edge, worst) - slack
+
+
 def search_block(block: dict, best: Best, row: np.ndarray, v: np.ndarray, prefix: np.ndarray,
                  share: float = SHARE, least: int = LEAST) -> None:
     """Meet one block with all queries: footrule ranks, then exact inner products of the best."""
@@ -143,12 +161,22 @@ def search_block(block: dict, best: Best, row: np.ndarray, v: np.ndarray, prefix
     rows, ids = (np.frombuffer(block[c], "<i8") for c in ("row", "vec_id"))
     vectors = np.frombuffer(block["vectors"], "<f8").reshape(n, -1)
     wanted = min(n, max(least, int(np.ceil(share * n))))
+    files = unrolled(block, n)
+    with np.errstate(over="ignore", invalid="ignore"):
+        length = np.sqrt((vectors * vectors).sum(axis=1).max())
     for at in range(0, len(row), STEP):
-        shared = overlap(block, prefix[at:at + STEP], n)  # more shared weight, less footrule
+        shared = overlap(block, prefix[at:at + STEP], n, files)  # more shared weight, less footrule
         edge = np.partition(shared, n - wanted, axis=1)[:, n - wanted]
+        asked = v[at:at + STEP]
+        with np.errstate(over="ignore", invalid="ignore"):
+            # sums in any order differ from the score by the rounding of as many additions, here doubled
+            near = asked @ vectors.T
+            slack = asked.shape[1] * 2.0 ** -51 * length * np.sqrt((asked * asked).sum(axis=1)) + 1e-300
         for j in range(len(shared)):
             q = at + j
             found = np.flatnonzero((shared[j] >= edge[j]) & (rows != row[q]))
+            worst = best.score[q].min() if best.rows[q].min() >= 0 else -np.inf
+            found = found[hopeful(near[j, found], slack[j], best.k, worst)]
             with np.errstate(over="ignore", invalid="ignore"):
                 # cumsum adds the components in order
                 score = np.cumsum(vectors[found] * v[q], axis=1)[:, -1]

@@ -245,3 +245,16 @@ def test_footrule_is_the_sum_of_place_differences():
             place = [{p: r for r, p in enumerate(prefix[x])} for x in (i, j)]
             footrule = sum(abs(place[0].get(p, 4) - place[1].get(p, 4)) for p in range(10))
             assert footrule == 4 * 5 - 2 * shared[i, j]
+
+
+def test_rerank_sums_in_order_only_what_may_be_among_the_best():
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=600)
+    kept = neighbours.hopeful(near, 1e-9, 20, -np.inf)
+    assert kept.sum() == 20 and set(np.flatnonzero(kept)) == set(np.argsort(-near)[:20])
+    assert neighbours.hopeful(near, 1e-9, 20, 9.0).sum() == 0
+    tied = np.r_[near, np.full(30, near.max() - 5e-10)]  # within the rounding of the best
+    assert neighbours.hopeful(tied, 1e-9, 20, -np.inf)[600:].all()
+    assert neighbours.hopeful(np.r_[near, np.inf], 1e-9, 20, -np.inf).all()
+    assert neighbours.hopeful(near, np.inf, 20, -np.inf).all()
+    assert neighbours.hopeful(near[:5], 1e-9, 20, -np.inf).all()
