@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from freightloom.plans.audits import package_count_mismatch
 from freightloom.plans.compliance import container_counts, counted_containers, loaded_containers
 from freightloom.plans.simulation import truck_triplets
-from freightloom.sources import versions
+from freightloom.sources import colocated, versions
 from freightloom.sources.colocated import frequent_keys, publish_pair, read_pair
 from freightloom.sources.workspace import new_workspace
 
@@ -144,3 +144,18 @@ def test_a_replacement_may_read_the_pair_and_other_sessions_find_it(spark):
     again = read_pair(spark.newSession(), path)
     assert again.even[0].unionByName(again.loose[0]).count() == 10
     assert pair.even[0].unionByName(pair.loose[0]).count() == 60 if pair.loose else pair.even[0].count() == 60
+
+
+def test_buckets_of_the_query_follow_the_rows(spark, monkeypatch):
+    from checks import queries
+
+    legs, runs = _legs(spark, 1000, 50), _runs(spark, 50)
+    given = []
+    monkeypatch.setattr(queries, "publish_pair", lambda left, right, path, key, buckets: given.append(buckets))
+    for double in (False, True):
+        t = queries.Tables(spark, "unused")
+        t._published = {"derived/wms": legs.unionByName(legs) if double else legs, "derived/tms": runs}
+        monkeypatch.setattr(queries, "buckets_for", lambda *a, least: colocated.buckets_for(*a, least=least, rows=50))
+        t.by_truck  # noqa: B018
+    assert given == [21, 41]
+    assert colocated.buckets_for(legs, runs, least=16) == 16
