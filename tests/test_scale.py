@@ -60,3 +60,15 @@ def test_portions_of_a_source_grow_with_its_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(feeds, "ROWS", 100, raising=False)
     df = feeds.source(spark, str(tmp_path), "orders")
     assert df.rdd.getNumPartitions() == 50 and df.count() == 5000
+
+
+def test_rows_dealt_by_key_do_not_fill_a_task_as_the_table_grows(spark, monkeypatch):
+    monkeypatch.setattr(kf, "PORTION", 100)
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for rows in (50 * few, 300 * few):
+        df = spark.range(rows).select(F.col("id").cast("string").alias("truck_id"), (F.col("id") % 7).alias("n"))
+        portions = []
+        out = kf.by_group(df, ["truck_id"], lambda r: portions.append(r.rdd.getNumPartitions()) or kf.first_rows(
+            r, ["truck_id"], ["n"]))
+        assert out.count() == rows
+        assert portions[0] <= few if rows == 50 * few else portions == [3 * few]
