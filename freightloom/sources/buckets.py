@@ -22,6 +22,8 @@ from freightloom.operators.keep_first import null_safe_key
 from freightloom.sources import versions
 
 PARTS, BUCKET, BUCKETS = "_parts", "_bucket", 256
+#: Rows of a piece of a bucket (see ``cell_of``).
+CELL = 60_000
 MANIFEST = "bucket int, part string, made_from string, buckets int"
 
 
@@ -63,13 +65,22 @@ def _check(spark: SparkSession, path: str, buckets: int) -> None:
             raise ValueError(f"{path} has {other[0].buckets} buckets, not {buckets}")
 
 
-def _write(df: DataFrame, path: str, bucket: Column) -> tuple[str, list[int]]:
-    """Write rows by bucket; the part's name and the buckets that have rows.
+def spread(df: DataFrame, key: Column, buckets: int = BUCKETS) -> DataFrame:
+    """Rows rebalanced by bucket: adaptive execution joins small buckets in a task and splits a bucket that one key fills."""
+    return df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET).drop(BUCKET)
 
-    Rows are rebalanced by bucket: adaptive execution joins small buckets in a task and splits a bucket that one key fills.
-    """
+
+def cell_of(key: Column, rows: int, buckets: int = BUCKETS) -> Column:
+    """Number of a piece of a bucket that has all rows of its keys; of ``rows`` rows a piece has ``CELL`` or fewer on average."""
+    pieces = max(1, -(-rows // (buckets * CELL)))
+    inner = F.pmod(F.shiftright(F.xxhash64(null_safe_key(key)), 32), F.lit(pieces)).cast("int")
+    return bucket_of(key, buckets) * F.lit(pieces) + inner
+
+
+def _write(df: DataFrame, path: str, bucket: Column) -> tuple[str, list[int]]:
+    """Write rows by bucket; the part's name and the buckets that have rows."""
     name = uuid.uuid4().hex
-    df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{PARTS}/{name}")
+    df.withColumn(BUCKET, bucket).write.partitionBy(BUCKET).parquet(f"{path}/{PARTS}/{name}")
     found = versions.listed(df.sparkSession, f"{path}/{PARTS}/{name}")
     return name, [int(f.split("=")[1]) for f in found if f.startswith(f"{BUCKET}=")]
 
@@ -79,32 +90,43 @@ def append(df: DataFrame, path: str, key: Column, buckets: int = BUCKETS) -> lis
     spark = df.sparkSession
     _check(spark, path, buckets)
     after, parts = _last(spark, path), manifest(spark, path)
-    name, touched = _write(df, path, bucket_of(key, buckets))
+    name, touched = _write(spread(df, key, buckets), path, bucket_of(key, buckets))
     for b in touched:
         parts[b] = [*parts.get(b, []), Part(name)]
     _commit(spark, path, parts, buckets, after)
     return touched
 
 
-def rewrite(df: DataFrame, path: str, key: Column, made_from: Mapping[int, str], buckets: int = BUCKETS) -> None:
-    """Replace the buckets named in ``made_from`` by the rows of ``df``, which has rows of these buckets only."""
+def rewrite(df: DataFrame, path: str, key: Column, made_from: Mapping[int, str], buckets: int = BUCKETS,
+            grown: Iterable[int] = ()) -> None:
+    """Replace the buckets named in ``made_from`` by the rows of ``df``, which has rows of these buckets only.
+
+    Buckets that are also in ``grown`` keep their parts, and the rows are one part more.  Rows are written as they lie: ``df`` should
+    hold a bucket's rows in few tasks (see ``spread``).
+    """
     spark = df.sparkSession
     _check(spark, path, buckets)
-    after, parts = _last(spark, path), manifest(spark, path)
+    after, parts, stay = _last(spark, path), manifest(spark, path), set(grown)
     name, filled = _write(df, path, bucket_of(key, buckets))
     if strays := set(filled) - set(made_from):
         raise ValueError(f"{path}: rows of buckets that are not replaced: {sorted(strays)[:5]}")
     for b, source in made_from.items():
+        old = [Part(p.name, source) for p in parts.get(b, []) if p.name] if b in stay else []
+        new = [Part(name, source)] if b in filled else []
         # a bucket without rows keeps a part that is not there, so that it is known to be up to date
-        parts[b] = [Part(name if b in filled else "", source)]
+        parts[b] = old + new or [Part("", source)]
     _commit(spark, path, parts, buckets, after)
 
 
-def read(spark: SparkSession, path: str, schema, only: Iterable[int] | None = None) -> DataFrame:
-    """Rows of all buckets, or of some: the files of other buckets are not listed or read."""
-    wanted = None if only is None else set(only)
+def read(spark: SparkSession, path: str, schema, only: Iterable[int] | None = None,
+         names: Mapping[int, Iterable[str]] | None = None) -> DataFrame:
+    """Rows of all buckets, or of some: the files of other buckets are not listed or read.
+
+    Of buckets in ``names`` only the parts named there are read.
+    """
+    wanted, named = None if only is None else set(only), {b: set(n) for b, n in (names or {}).items()}
     folders = [f"{path}/{PARTS}/{p.name}/{BUCKET}={b}" for b, ps in sorted(manifest(spark, path).items())
-               if wanted is None or b in wanted for p in ps if p.name]
+               if wanted is None or b in wanted for p in ps if p.name and (b not in named or p.name in named[b])]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
@@ -120,9 +142,10 @@ def schema_of(spark: SparkSession, path: str):
 def compact(spark: SparkSession, path: str, key: Column, buckets: int = BUCKETS) -> int:
     """Put the parts of buckets that have several into one; the number of such buckets.
 
-    What a part was made from is kept as a joined text, so tables made from this one see a change in these buckets.
+    What a part was made from is kept, as a joined text where it differs; the part has a new name, so tables made from this one
+    see a change in these buckets.
     """
-    several = {b: "+".join(p.made_from for p in ps) for b, ps in manifest(spark, path).items() if len(ps) > 1}
+    several = {b: "+".join(dict.fromkeys(p.made_from for p in ps)) for b, ps in manifest(spark, path).items() if len(ps) > 1}
     if several:
-        rewrite(read(spark, path, schema_of(spark, path), several), path, key, several, buckets)
+        rewrite(spread(read(spark, path, schema_of(spark, path), several), key, buckets), path, key, several, buckets)
     return len(several)

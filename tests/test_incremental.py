@@ -128,3 +128,47 @@ def test_buckets(spark, tmp_path):
     last = versions.commits(spark, path)[-1]
     buckets.append(df, path, key, 8)
     assert buckets.manifest(spark, path, last) != buckets.manifest(spark, path)
+
+
+def parts(spark, base, name):
+    return {b: {p.name for p in ps} for b, ps in files(spark, base, name).items()}
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_new_trucks_leave_scored_parts_alone(spark, raw, base, network, rates, monkeypatch, hot):
+    if hot:
+        from freightloom.operators import keep_first
+        monkeypatch.setattr(keep_first, "PLACES", 8)
+        monkeypatch.setattr(keep_first, "HOT_ROWS", 15)
+    monkeypatch.setattr(buckets, "CELL", 2)  # several pieces a bucket
+    runs = runs_of(raw, [*[truck(i) for i in range(20)], truck(3), f" {truck(4)} ", None, None])
+    legs = legs_of(raw, *[(ship(i), truck(i // 2)) for i in range(60)], (ship(8), truck(4)), (ship(9), f"{truck(4)} "), (" ", truck(5)),
+                   (None, truck(6)), (None, None), (ship(1), None), *[(ship(200 + i), truck(7)) for i in range(60 * hot)])
+    inc.append_raw(runs, base, inc.RUNS, N)
+    inc.append_raw(legs, base, inc.LEGS, N)
+    inc.refresh_scored(spark, base, count=N)
+    if hot:
+        same_as_rebuild(spark, base, runs, legs, network, rates)
+        return
+    before = {n: parts(spark, base, n) for n in (inc.RUNS, inc.LEGS)}
+
+    # trucks nobody has seen, in every bucket; the last runs get no legs yet
+    late_runs, late_legs = runs_of(raw, [truck(i) for i in range(100, 160)]), legs_of(
+        raw, *[(ship(500 + i), truck(100 + i // 2)) for i in range(80)], (ship(500), f"{truck(100)}\t"), (ship(501), truck(100)))
+    inc.append_raw(late_runs, base, inc.RUNS, N)
+    inc.append_raw(late_legs, base, inc.LEGS, N)
+    inc.refresh_scored(spark, base, count=N)
+    runs, legs = runs.unionByName(late_runs), legs.unionByName(late_legs)
+    for n, had in before.items():
+        now = parts(spark, base, n)
+        assert all(had[b] - {""} <= now[b] for b in had) and any(len(now[b]) == 2 for b in now)
+
+    # legs of runs that had none need old runs, one leg more of a truck a rewrite
+    had = parts(spark, base, inc.LEGS)
+    late = legs_of(raw, *[(ship(900 + i), truck(150 + i)) for i in range(10)], (ship(1), truck(2)))
+    inc.append_raw(late, base, inc.LEGS, N)
+    inc.refresh_scored(spark, base, count=N)
+    same_as_rebuild(spark, base, runs, legs.unionByName(late), network, rates)
+    assert any(had[b] - now for b, now in parts(spark, base, inc.LEGS).items() if b in had)
+    assert buckets.compact(spark, table_path(base, inc.SCORED, inc.LEGS), F.trim("truck_id"), N) > 0
+    assert inc.refresh_scored(spark, base, count=N) == {inc.RUNS: [], inc.LEGS: []}
