@@ -1,9 +1,10 @@
 """Near-duplicate lines by a segment-partition edit join.
 
 Two lines link when their edit distance is at most the budget of the shorter one: ``EDITS``, less for lines of
-under ``PER_EDIT`` characters an edit.  A line of budget k is cut into k + 1 segments, of which one survives k
-edits unchanged.  A line is indexed by its segments and its length; it probes the indexes of its own and shorter
-lengths with those of its substrings that the number of edits on either side lets be a segment.  Parities of
+under ``PER_EDIT`` characters an edit.  Lines of nearly one length are a class (see ``class_of``), in which a line of
+budget k has k + 1 segments of the same sizes, of which one survives k edits unchanged: the first at its start, the last at its
+end, the middle one of three moved by one place at most.  A line is indexed by the segments of its class; it looks up the same ones,
+the middle one also a place further on, and those of the class of a line shorter by its edits if that is another.  Parities of
 letter pairs (64 bits) must nearly agree before a pair counts as found, and a banded bit-parallel edit distance
 decides.  Equal lines are one line with many places; links join lines to classes.
 
@@ -32,29 +33,45 @@ EDITS, PER_EDIT = 2, 10
 PAIRS_PER_EDIT = 4
 #: Found lines up to this number are sent to the tasks that hold the texts; more are joined by shuffle.
 SMALL = 500_000
+#: Bits of the filter of found lines, by which tasks leave out others first, whatever the number of lines.
+BITS = 1 << 24
+#: Characters numpy works on at a time, and the base of the sums that stand for substrings, with its inverse modulo 2 ** 64.
+STEP, BASE = 1 << 18, 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def budget(size: int) -> int:
     return min(EDITS, size // PER_EDIT)
 
 
-def segment(size: int, k: int, i: int) -> tuple[int, int]:
-    """Start and end of segment ``i`` of k + 1 in a line of ``size``."""
-    return size * i // (k + 1), size * (i + 1) // (k + 1)
+def class_of(size: np.ndarray) -> np.ndarray:
+    """Least size of a line's class: 4 sizes, from 64 on an eighth of the size at most; sizes of smaller budgets are their own."""
+    width = np.left_shift(4, np.maximum(0, np.floor(np.log2(np.maximum(size, 1) / 32)).astype(np.int64)))
+    return np.where(size < EDITS * PER_EDIT, size, np.maximum(EDITS * PER_EDIT, size // width * width))
 
 
-def probes(size: int) -> Iterator[tuple[int, int, int, int]]:
-    """(indexed length, segment, start, end) of the substrings a line of ``size`` looks up."""
-    for other in range(max(1, size - EDITS), size + 1):
-        k, more = budget(other), size - other
-        if not k or more > k:
+def lookups(size: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """(lines, segment, class, start, end, indexed) of the substrings that lines of ``size`` are indexed by or look up.
+
+    The middle segment is looked up at its own place and one further on, but not one before: of two lines of one length whose
+    middles lie a place apart, each can be the one that looks up, and from one of them the other's middle lies further on.
+    """
+    own = class_of(size)
+    lower = np.maximum(size - EDITS, 0)
+    for home, some in ((own, size >= PER_EDIT), (class_of(lower), (class_of(lower) != own) & (lower >= PER_EDIT)),
+                       (class_of(lower + 1), (class_of(lower + 1) != own) & (class_of(lower + 1) != class_of(lower)) & (lower + 1 >= PER_EDIT))):
+        at = np.nonzero(some)[0]
+        if not len(at):
             continue
-        for i in range(k + 1):
-            a, b = segment(other, k, i)
-            # i edits at most to the left of the segment, k - i at most to the right of it
-            for shift in range(max(-i, more - (k - i)), min(i, more + (k - i)) + 1):
-                if 0 <= a + shift and b + shift <= size:
-                    yield other, i, a + shift, b + shift
+        n, c = size[at], home[at]
+        indexed, k = home is own, np.minimum(EDITS, c // PER_EDIT)
+        part = c // (k + 1)
+        yield at, 0, c, 0 * n, part, indexed
+        yield at, 2, c, n - part, n, indexed
+        three = k == 2
+        at, c, part = at[three], c[three], part[three]
+        yield at, 1, c, part, 2 * part, indexed
+        yield at, 1, c, part + 1, 2 * part + 1, False
 
 
 def distance(a: str, b: str, k: int) -> int:
@@ -83,9 +100,14 @@ def distance(a: str, b: str, k: int) -> int:
     return score
 
 
-def parities(lines: list[str]) -> np.ndarray:
+def codes(lines: list[str]) -> np.ndarray:
+    """Characters of the lines, a line end between two."""
+    return np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
+def parities(lines: list[str], code: np.ndarray | None = None) -> np.ndarray:
     """Per line 64 parities of hashed letter pairs."""
-    code = np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    code = codes(lines) if code is None else code
     if len(code) < 2:
         return np.zeros(len(lines), np.int64)
     pair = (code[:-1] * np.uint64(0x9E3779B97F4A7C15) + code[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(58)
@@ -100,86 +122,119 @@ def parities(lines: list[str]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def lines_of(text: str | None) -> list[str]:
-    return [] if text is None else [x.strip() for x in text.split("\n")]
+def in_steps(lines: list[str], size: int = 0) -> Iterator[list[str]]:
+    """The lines, ``size`` or ``STEP`` characters at a time."""
+    held, n = [], 0
+    for x in lines:
+        held.append(x)
+        n += len(x) + 1
+        if n >= (size or STEP):
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def segment_keys(lines: list[str], code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all substrings by which lines are indexed or look up, the line of each, and whether it only looks up.
+
+    A substring's key is the sum of its mixed characters times powers of ``BASE`` from its start on, with class and segment.
+    """
+    mixed = (code + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0x165667B19E3779F9)
+
+    def powers(base: int) -> np.ndarray:
+        out = np.full(len(code) + 1, base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    up, down = powers(BASE), powers(INVERSE)
+    total = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum(mixed * up[:-1], out=total[1:])
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    first = np.cumsum(size + 1) - size - 1
+    keys, owners, asks = [], [], []
+    for at, part, kind, start, end, indexed in lookups(size):
+        s, e = first[at] + start, first[at] + end
+        key = (total[e] - total[s]) * down[s] ^ (kind << 3 | part).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        key = (key ^ key >> np.uint64(32)) * np.uint64(0x9FB21C651E98DF25)
+        keys.append(key ^ key >> np.uint64(28))
+        owners.append(at)
+        asks.append(np.full(len(at), not indexed))
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    return np.concatenate(keys).view(np.int64), np.concatenate(owners), np.concatenate(asks)
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >= 1 << 63 else h
+def lines_of(text: str | None) -> list[str]:
+    return [] if text is None else [x.strip() for x in text.split("\n")]
 
 
-def _hash(text: str) -> int:
+def _hashes(lines: list[str]) -> np.ndarray:
     import xxhash
-    return _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42))
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(x.encode("utf-8", "surrogatepass"), 42) for x in lines), np.uint64, len(lines)).view(np.int64)
 
 
 def places(docs: DataFrame) -> DataFrame:
     """row, doc_id, pos, id, pairs: every line that is not empty, and pos -1 for the document itself."""
+    def made(row: list, doc_id: list, pos: list, counts: list, texts: list[str]) -> dict:
+        ids, pairs = np.zeros(len(pos), np.int64), np.zeros(len(pos), np.int64)
+        line = np.array(pos) >= 0
+        ids[~line], ids[line], pairs[line] = counts, _hashes(texts), parities(texts) if texts else 0
+        return {"row": row, "doc_id": doc_id, "pos": pos, "id": ids, "pairs": pairs}
+
     def rows(batches):
         for b in batches:
+            held, n = ([], [], [], [], []), 0
             for row, doc_id, text in zip(b["row"], b["doc_id"], b["text"]):
                 lines = lines_of(text)
-                full = [(i, x) for i, x in enumerate(lines) if x]
-                texts = [x for _, x in full]
-                yield {"row": [row] * (len(full) + 1), "doc_id": [doc_id] * (len(full) + 1),
-                       "pos": [-1, *(i for i, _ in full)], "id": [len(lines), *map(_hash, texts)],
-                       "pairs": [0, *parities(texts).tolist()]}
+                full = [i for i, x in enumerate(lines) if x]
+                held[0].extend([row] * (len(full) + 1))
+                held[1].extend([doc_id] * (len(full) + 1))
+                held[2].extend([-1, *full])
+                held[3].append(len(lines))
+                held[4].extend(lines[i] for i in full)
+                n += len(text or "")
+                if n >= STEP:
+                    yield made(*held)
+                    held, n = ([], [], [], [], []), 0
+            if held[0]:
+                yield made(*held)
 
     rows_in = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    return map_rows(rows_in, _gathered(rows), "row long, doc_id long, pos long, id long, pairs long")
-
-
-def _gathered(rows, size: int = 20_000):
-    """Joins small results of a row generator to batches."""
-    def run(batches):
-        held: dict[str, list] = {}
-        for out in rows(batches):
-            for name, values in out.items():
-                held.setdefault(name, []).extend(values)
-            if len(next(iter(held.values()))) >= size:
-                yield held
-                held = {}
-        if held:
-            yield held
-    return run
+    return map_rows(rows_in, rows, "row long, doc_id long, pos long, id long, pairs long")
 
 
-def _keys(docs: DataFrame, probing: bool) -> DataFrame:
-    """key, id, pairs of the segments (or of the substrings looked up), lines repeated in a batch once."""
+def _different(texts: list[str | None]) -> list[str]:
+    """Lines long enough to have links, each once."""
+    return [x for x in dict.fromkeys(y for t in texts for y in lines_of(t)) if len(x) >= PER_EDIT]
+
+
+def _keys(docs: DataFrame) -> DataFrame:
+    """key, id, pairs of the segments by which lines are indexed and (``asks``) of those they only look up."""
     def rows(batches):
-        import xxhash
-        digest = xxhash.xxh64_intdigest
-        plan: dict[int, list[tuple[int, int, int]]] = {}
         for b in batches:
-            seen: set[str] = set()
-            for text in b["text"]:
-                lines = [x for x in dict.fromkeys(lines_of(text)) if len(x) >= PER_EDIT and x not in seen]
-                seen.update(lines)
-                out: dict[str, list[int]] = {"key": [], "id": [], "pairs": []}
-                for x, pairs in zip(lines, parities(lines).tolist()):
-                    size, me = len(x), _hash(x)
-                    if size not in plan:
-                        k = budget(size)
-                        plan[size] = ([(o << 3 | i, s, e) for o, i, s, e in probes(size)] if probing else
-                                      [(size << 3 | i, *segment(size, k, i)) for i in range(k + 1)])
-                    for seed, s, e in plan[size]:
-                        out["key"].append(_signed(digest(x[s:e].encode("utf-8", "surrogatepass"), seed)))
-                        out["id"].append(me)
-                        out["pairs"].append(pairs)
-                yield out
-
-    found = map_rows(docs.select("text"), _gathered(rows), "key long, id long, pairs long")
+            for lines in in_steps(_different(b["text"])):
+                code = codes(lines)
+                key, at, asks = segment_keys(lines, code)
+                yield {"key": key, "id": _hashes(lines)[at], "pairs": parities(lines, code)[at], "asks": asks}
+
+    found = map_rows(docs.select("text"), rows, "key long, id long, pairs long, asks boolean")
     # by key, so that dropping repeats and the join need no other shuffle
-    return found.repartition("key").dropDuplicates(["key", "id", "pairs"])
+    return found.repartition("key").dropDuplicates(["key", "id", "pairs", "asks"])
 
 
 def found_pairs(docs: DataFrame) -> DataFrame:
     """Pairs of lines (id, pairs, id2, pairs2) that share a segment and nearly all letter pairs."""
-    homes = _keys(docs, False)
-    asks = _keys(docs, True).select(F.col("key"), F.col("id").alias("id2"), F.col("pairs").alias("pairs2"))
+    homes = _keys(docs)
+    asks = homes.select(*[F.col(c).alias(f"{c}2") for c in homes.columns])
     near = F.bit_count(F.col("pairs").bitwiseXOR(F.col("pairs2"))) <= PAIRS_PER_EDIT * EDITS
+    less = (F.col("id") < F.col("id2")) | (F.col("id") == F.col("id2")) & (F.col("pairs") < F.col("pairs2"))
     other = (F.col("id") != F.col("id2")) | (F.col("pairs") != F.col("pairs2"))
-    return homes.join(asks.withColumnRenamed("key", "key2").hint("merge"), (F.col("key") == F.col("key2")) & near & other).select(
+    # of two lines that are both indexed by a segment one looks up; as one condition on both sides, so that the keys are dealt once for both
+    here = F.when(F.col("asks2"), other & ~F.col("asks")).otherwise(less & ~F.col("asks"))
+    return homes.join(asks.hint("merge"), (F.col("key") == F.col("key2")) & near & here).select(
         "id", "pairs", "id2", "pairs2").distinct()
 
 
@@ -195,15 +250,25 @@ def line_links(docs: DataFrame, folder: str) -> DataFrame:
                               ).distinct(), folder, "found")
     names = kept(pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct(), folder, "found_lines")
 
+    # bits of a filter in words of 64, so what comes to the driver is bounded whatever the number of lines
+    bit = F.substring_index("name", ":", 1).cast("long").bitwiseAND(F.lit(BITS - 1))
+    words = np.zeros(BITS // 64, np.int64)
+    for r in names.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))).alias("set")).toLocalIterator():
+        words[r["word"]] = r["set"]
+    sent = docs.sparkSession.sparkContext.broadcast(words)
+
     def texts(batches):
+        words = sent.value
         for b in batches:
-            seen: set[str] = set()
-            for text in b["text"]:
-                lines = [x for x in dict.fromkeys(lines_of(text)) if len(x) >= PER_EDIT and x not in seen]
-                seen.update(lines)
-                yield {"name": [f"{_hash(x)}:{p}" for x, p in zip(lines, parities(lines).tolist())], "line": lines}
-
-    held = map_rows(docs.select("text"), _gathered(texts), "name string, line string")
+            for lines in in_steps(_different(b["text"])):
+                ids = _hashes(lines)
+                at = np.nonzero(words[(ids & (BITS - 1)) >> 6] >> (ids & 63) & 1)[0]
+                if len(at):
+                    some = [lines[i] for i in at]
+                    yield {"name": [f"{h}:{p}" for h, p in zip(ids[at].tolist(), parities(some).tolist())], "line": some}
+
+    held = map_rows(docs.select("text"), texts, "name string, line string")
     few = names.count() <= SMALL
     held = held.join(F.broadcast(names) if few else names, "name", "left_semi").dropDuplicates(["name", "line"])
 

@@ -230,6 +230,37 @@ def test_banded_distance_and_budget():
             assert line_dedup.distance(a, b, k) == min(lev(a, b), k + 1)
 
 
+def test_lines_of_a_link_share_a_segment():
+    """Every pair within the budget meets in an index, with about five keys a line."""
+    rng = random.Random(5)
+
+    def edited(x, n):
+        for _ in range(n):
+            i = rng.choice([0, 1, len(x) // 3, len(x) // 2, len(x) - 1, len(x), rng.randrange(len(x) + 1)])
+            x = rng.choice([x[:i] + rng.choice("abz") + x[i:], x[:i] + x[i + 1:], x[:i] + rng.choice("abz") + x[i + 1:]])
+        return x
+
+    def met(a, b):
+        keys, at, asks = line_dedup.segment_keys([a, b], line_dedup.codes([a, b]))
+        index, asked = ({(k, o) for k, o, q in zip(keys.tolist(), at.tolist(), asks.tolist()) if keep(q)}
+                        for keep in (lambda q: not q, lambda q: True))
+        return any((k, 1 - o) in index for k, o in asked)
+
+    sizes = [*range(10, 45), *range(58, 70), *range(124, 136), 300]
+    total = 0
+    for n in sizes:
+        for _ in range(60):
+            a = "".join(rng.choice("ab") for _ in range(n))
+            b = edited(a, rng.randint(1, 2))
+            k = line_dedup.budget(min(len(a), len(b)))
+            if a != b and k and line_dedup.distance(a, b, k) <= k:
+                assert met(a, b), (a, b)
+                total += 1
+    assert total > 2000
+    many = [sentence(rng, 30) for _ in range(500)]
+    assert len(line_dedup.segment_keys(many, line_dedup.codes(many))[0]) < 7 * len(many)
+
+
 def test_line_dedup(spark, none):
     rng = random.Random(4)
     lines = [sentence(rng, 8, "abcdefghijklmnopqrstuvwxyz") for _ in range(12)]
