@@ -71,13 +71,19 @@ def _added(have: dict[int, list[buckets.Part]], due: dict[int, str]) -> dict[int
 
 
 def _trucks(df: DataFrame, count: int) -> DataFrame:
-    """Trucks as 64-bit hashes, with their bucket; two trucks of one hash cost a rewrite."""
-    return df.select(F.xxhash64(null_safe_key(_key())).alias("_h"), buckets.bucket_of(_key(), count).alias("_b")).distinct()
+    """Trucks as 64-bit hashes, with their bucket, a row for each row; two trucks of one hash cost a rewrite."""
+    return df.select(F.xxhash64(null_safe_key(_key())).alias("_h"), buckets.bucket_of(_key(), count).alias("_b"))
 
 
 def _shared(new: DataFrame, old: DataFrame) -> set[int]:
-    """Buckets in which the two have a truck in common."""
-    return {r[0] for r in new.join(old, ["_h", "_b"], "left_semi").select("_b").distinct().collect()}
+    """Buckets in which the two have a truck in common.
+
+    One aggregate of both, not a join: Spark goes by the bytes of the files, in which ids take next to nothing, and would
+    collect all trucks in the driver.
+    """
+    sides = new.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
+    both = sides.groupBy("_h", "_b").agg(F.bool_or("_new").alias("_in_new"), F.bool_and("_new").alias("_in_no_other"))
+    return {r[0] for r in both.where(F.col("_in_new") & ~F.col("_in_no_other")).select("_b").distinct().collect()}
 
 
 def _scored(score: Callable[..., DataFrame], raw: DataFrame, runs: DataFrame | None, network: DataFrame, count: int) -> DataFrame:
@@ -137,7 +143,7 @@ def refresh_scored(spark: SparkSession, base: str, reference: str = "silver", co
             legs_of = _trucks(raw_rows(LEGS, new, new), count)
             runs_of = _trucks(buckets.read(spark, scored[RUNS], run_schema, new_runs, new_runs), count)
             rows_of = _trucks(buckets.read(spark, scored[LEGS], buckets.schema_of(spark, scored[LEGS]), added), count)
-            shared = _shared(legs_of.unionByName(runs_of).distinct(), rows_of)
+            shared = _shared(legs_of.unionByName(runs_of), rows_of)
             new = {b: names for b, names in new.items() if b not in shared}
             # new legs of runs that were there before need those
             before = {b: sorted(set(_names(run_made, b)) - set(new_runs[b])) for b in new}

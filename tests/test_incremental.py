@@ -172,3 +172,29 @@ def test_new_trucks_leave_scored_parts_alone(spark, raw, base, network, rates, m
     assert any(had[b] - now for b, now in parts(spark, base, inc.LEGS).items() if b in had)
     assert buckets.compact(spark, table_path(base, inc.SCORED, inc.LEGS), F.trim("truck_id"), N) > 0
     assert inc.refresh_scored(spark, base, count=N) == {inc.RUNS: [], inc.LEGS: []}
+
+
+def test_trucks_are_not_collected_to_find_those_in_common(spark, raw, base, network, rates, monkeypatch):
+    """Under a threshold that the bytes of their files stay below, the scored trucks all went through the driver."""
+    frame, plans = type(spark.range(1)), []
+    collect = frame.collect
+
+    def seen(df):
+        out = collect(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    runs, legs = runs_of(raw, [truck(i) for i in range(20)]), legs_of(raw, *[(ship(i), truck(i // 2)) for i in range(40)])
+    inc.append_raw(runs, base, inc.RUNS, N)
+    inc.append_raw(legs, base, inc.LEGS, N)
+    inc.refresh_scored(spark, base, count=N)
+    late_runs = runs_of(raw, [truck(3), truck(40), None])
+    late_legs = legs_of(raw, (ship(90), f" {truck(5)}"), (ship(91), truck(40)), (ship(92), truck(41)), (ship(93), None))
+    inc.append_raw(late_runs, base, inc.RUNS, N)
+    inc.append_raw(late_legs, base, inc.LEGS, N)
+    with monkeypatch.context() as m:
+        m.setattr(frame, "collect", seen)
+        inc.refresh_scored(spark, base, count=N)
+    of_trucks = [p for p in plans if "_h#" in p]
+    assert len(of_trucks) == 3 and not any("Broadcast" in p for p in of_trucks)
+    same_as_rebuild(spark, base, runs.unionByName(late_runs), legs.unionByName(late_legs), network, rates)
